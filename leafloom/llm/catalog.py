@@ -1,11 +1,12 @@
 """The queries of this subpackage, by name, and the SQL of those that SQL can express."""
 
-from leafloom.llm import ann, html_text, jaccard, mix, topk, warc
+from leafloom.llm import ann, ctw, html_text, jaccard, mix, topk, warc
 
 QUERIES = {
     "op1_ivf_pq": ann.op1_ivf_pq,
     "op4_warc_derivatives": warc.op4_warc_derivatives,
     "op5_ngram_jaccard": jaccard.op5_ngram_jaccard,
+    "op6_context_tree": ctw.op6_context_tree,
     "op7_maxscore_topk": topk.op7_maxscore_topk,
     "op8_main_text": html_text.op8_main_text,
     "op10_source_mix": mix.op10_source_mix,
