@@ -6,8 +6,10 @@ sizes. The join runs in four steps.
 
 1. Documents with the same set become one class (a grouped minimum), so copies never meet as pairs.
 2. Blocks: every class lists its rarest n-grams, as many as any linked class must share one of (rarity is an order by
-   counters of hashed n-grams, of one size for any corpus; every total order is exact). Classes that share a listed
-   n-gram are joined to the smallest of them, and the components of these stars are the blocks. No link leaves a block.
+   counters of hashed n-grams, of one size for any corpus; every total order is exact). Lists with the same members
+   count once. Two members of a list are plausible if their parity bitmaps, a bit or two per n-gram, allow the overlap:
+   a differing bit needs an n-gram that only one of the sets has, so no link is lost. The components of the plausible
+   pairs are the blocks. No link leaves a block.
 3. T-occurrence search inside blocks: inverted lists of the block's sets; for each set the long lists are put aside, the
    short ones are heap-merged with skips for documents that occur T - L times, and those are probed in the long lists
    by binary search. A block beyond a task's size is dealt to shards, and each pair of shards is one task.
@@ -32,6 +34,10 @@ from leafloom.llm import common
 COUNTERS, SLICES = 1 << 20, 64
 #: N-grams of the sets in one search task, about; a larger block is dealt to pairs of shards.
 TASK_GRAMS = 1 << 20
+#: Members of a list that one task compares; the shards of a longer list meet pair by pair.
+LIST_ROWS = 4096
+#: Members of short lists in one task.
+BIN_ROWS = 50_000
 #: DivideSkip's weight of a probe against a merge step: L = T / (MU * log2(longest list) + 1).
 MU = 0.0085
 
@@ -117,7 +123,8 @@ def _rarity(rows: DataFrame) -> np.ndarray:
 
 
 def listed(docs: DataFrame, levels, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, size, d1, d2, grams): the rarest n-grams of each set, one of which every linked set shares."""
+    """(doc_id, size, d1, d2, grams, bits): the rarest n-grams of each set, one of which every linked set shares, and its
+    parity bitmap."""
 
     def run(batches):
         rarity = levels.value
@@ -134,11 +141,61 @@ def listed(docs: DataFrame, levels, n: int, num: int, den: int) -> DataFrame:
                 flat = np.concatenate(out) if out else np.zeros(0, np.int64)
                 m = end - first
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, m), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in names], pa.int64()), pa.array([x for _, x in names], pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))],
-                    names=["doc_id", "size", "d1", "d2", "grams"],
+                    [ids.slice(first, m), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in names], pa.int64()), pa.array([x for _, x in names], pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), pa.array([parity(s) for s in sets], pa.binary())],
+                    names=["doc_id", "size", "d1", "d2", "grams", "bits"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, size long, d1 long, d2 long, grams array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, size long, d1 long, d2 long, grams array<long>, bits binary")
+
+
+def parity(row: np.ndarray) -> bytes:
+    """Bit i: whether an odd number of the set's n-grams hash to i; 64 bits, or the power of two from the size up."""
+    width = max(64, 1 << max(len(row) - 1, 0).bit_length())
+    odd = np.bincount((common.stable_hash(row, 3) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bitmaps (as 64-bit words) of a larger width as they are at the smaller one."""
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def plausible_forest(ids: np.ndarray, sizes: np.ndarray, bitmaps: list[bytes], num: int, den: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose sizes and bitmaps allow a link. Sizes ascend."""
+    joined, out = _Joined(len(ids)), []
+    words = [len(b) // 8 for b in bitmaps]
+    at_width: dict[int, tuple[int, np.ndarray]] = {}  # bitmaps of ascending sizes: runs of one width
+    for w in dict.fromkeys(words):
+        a = words.index(w)
+        rows = [b for b, x in zip(bitmaps, words, strict=True) if x == w]
+        at_width[w] = (a, np.frombuffer(b"".join(rows), np.uint64).reshape(len(rows), w))
+    for x in range(1, len(ids)):
+        low = int(np.searchsorted(sizes[:x], -(-num * sizes[x] // den)))
+        if low >= x:
+            continue
+        own_at, own_rows = at_width[words[x]]
+        own = own_rows[x - own_at : x - own_at + 1]
+        for w, (a, rows) in at_width.items():
+            b = a + len(rows)
+            lo, hi = max(low, a), min(x, b)
+            if lo >= hi:
+                continue
+            todo = np.arange(lo, hi)
+            while len(todo):  # rows that one link has joined with x need no look any more
+                some, todo = todo[-256:], todo[:-256]
+                differ = np.bitwise_count(rows[some - a] ^ folded(own, w)).sum(1, dtype=np.int64)
+                need = -(-num * (sizes[x] + sizes[some]) // (num + den))
+                for y in some[differ <= sizes[x] + sizes[some] - 2 * need].tolist():
+                    if not joined(x, y):
+                        out.append((int(ids[x]), int(ids[y])))
+                        joined.join(x, y)
+                if len(todo):
+                    root = joined.root(x)
+                    todo = np.array([y for y in todo.tolist() if joined.root(y) != root], np.int64)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -282,14 +339,33 @@ class _Joined:
         self.up[self.root(x)] = self.root(y)
 
 
-def _blocks(listing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The classes (id, size, d1, d2), and of those that share a listed n-gram with another (id, size, block)."""
-    classes = listing.where("size > 0").groupBy("d1", "d2", "size").agg(F.min("doc_id").alias("id"), F.min("grams").alias("grams"))
+def _blocks(listing: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The classes (id, size, d1, d2), and (id, block) of those that have a plausible partner."""
+    classes = listing.where("size > 0").groupBy("d1", "d2", "size").agg(F.min("doc_id").alias("id"), F.min("grams").alias("grams"), F.min("bits").alias("bits"))
     classes = common.cut(classes)
     posts = classes.select("id", F.explode("grams").alias("gram"))
-    hubs = posts.groupBy("gram").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("gram", "hub")
-    stars = posts.join(hubs, "gram").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    return classes.drop("grams"), components(stars).withColumnRenamed("root", "block")
+    lists = posts.groupBy("gram").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x2")).where("n > 1")
+    lists = lists.groupBy("n", "x1", "x2").agg(F.min("gram").alias("gram")).withColumn("shards", F.ceil(F.col("n") / LIST_ROWS).cast("int"))
+    lists = common.cut(lists)
+    bins = max(1, -(-(lists.agg(F.sum("n")).first()[0] or 0) // BIN_ROWS))
+    own = F.pmod(F.xxhash64("id"), F.col("shards")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("shards") - 1), lambda s: (s != own) | (F.col("shards") == 1))
+    members = posts.join(lists.select("gram", "shards"), "gram").withColumn("other", F.explode(others))
+    # short lists share a task, each pair of a long list's shards is one
+    pair = F.concat_ws("-", F.lit("l"), "gram", F.least(own, "other"), F.greatest(own, "other"))
+    task = F.when(F.col("shards") == 1, F.concat_ws("-", F.lit("s"), F.pmod(F.xxhash64("gram"), F.lit(bins)))).otherwise(pair)
+    members = members.select(task.alias("task"), "gram", "id")
+    members = members.join(classes.select("id", "size", "bits"), "id")
+
+    def compare(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["gram", "size", "id"])
+        ids, sizes, bits, gram = f["id"].to_numpy(np.int64), f["size"].to_numpy(np.int64), list(map(bytes, f["bits"])), f["gram"].to_numpy()
+        cuts = [0, *(np.flatnonzero(gram[1:] != gram[:-1]) + 1).tolist(), len(f)]
+        pairs = [p for a, b in zip(cuts[:-1], cuts[1:], strict=True) for p in plausible_forest(ids[a:b], sizes[a:b], bits[a:b], num, den)]
+        return pd.DataFrame(pairs, columns=["a", "b"], dtype=np.int64)
+
+    edges = members.groupBy("task").applyInPandas(compare, "a long, b long")
+    return classes.drop("grams", "bits"), components(edges).withColumnRenamed("root", "block")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, task_grams: int = TASK_GRAMS) -> DataFrame:
@@ -305,7 +381,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, tas
     first = common.cut(class_rows(docs, n))
     named = first.where("kind = 0").select("doc_id", "size", "d1", "d2")
     levels = spark.sparkContext.broadcast(_rarity(first))  # COUNTERS bytes
-    classes, blocks = _blocks(listed(docs.where("doc_id is not null"), levels, n, num, den))
+    classes, blocks = _blocks(listed(docs.where("doc_id is not null"), levels, n, num, den), num, den)
     blocks = common.cut(blocks.join(classes.select("id", "size"), "id"))
 
     totals = blocks.groupBy("block").agg(F.sum("size").alias("grams"))
