@@ -1,6 +1,6 @@
 """The queries of this subpackage, by name, and the SQL of those that SQL can express."""
 
-from leafloom.llm import ann, ctw, html_text, jaccard, langid, mix, quality, topk, warc
+from leafloom.llm import ann, ctw, html_text, jaccard, langid, mix, pieces, quality, topk, warc
 
 QUERIES = {
     "op1_ivf_pq": ann.op1_ivf_pq,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_context_tree": ctw.op6_context_tree,
     "op7_maxscore_topk": topk.op7_maxscore_topk,
     "op8_main_text": html_text.op8_main_text,
+    "op9_merge_dropout": pieces.op9_merge_dropout,
     "op10_source_mix": mix.op10_source_mix,
 }
 
