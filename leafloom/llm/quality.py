@@ -21,6 +21,8 @@ from leafloom.llm import common
 BUCKETS, FIT_ROWS, FIT_CHARS, STEPS, PENALTY = 1 << 18, 8_000, 20_000, 60, 2.0
 #: Rated documents that a feature must be in, and lengths in bytes of word beginnings.
 LEAST_ROWS, BEGINNINGS = 5, (4, 5)
+#: Text bytes that are turned into features at once.
+CHUNK_BYTES = 1 << 20
 #: Bins of each shape figure.
 BINS = 12
 _UPPER = np.zeros(256, np.int64)
@@ -104,16 +106,23 @@ class Ordinal:
 def fit(texts: list[str], grades: list[int], levels: int) -> Ordinal:
     """A model of grades 0 to ``levels - 1``: maximum likelihood with an L2 penalty, by limited-memory BFGS."""
     if not texts:
-        return Ordinal(np.zeros(BUCKETS, np.float32), np.linspace(-1, 1, levels - 1))
-    blob = [(t or "").encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(b) for b in blob])]).astype(np.int64)
-    row, bucket, value = features(np.frombuffer(b"".join(blob), np.uint8), offsets)
+        return Ordinal(np.zeros(BUCKETS, np.float32), np.arange(2.0 - levels, 1.0))
+    parts = []
+    for first, _, data, offsets in common.byte_chunks(pa.array(texts, pa.string()), CHUNK_BYTES):
+        row, bucket, value = features(data, offsets)
+        parts.append(((row + first).astype(np.int32), bucket.astype(np.int32), value.astype(np.float32)))
+    row, bucket, value = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
     y, m = np.array(grades), len(texts)
     often = np.bincount(bucket, minlength=BUCKETS) >= LEAST_ROWS
     keep = often[bucket]
     row, bucket, value = row[keep], bucket[keep], value[keep]
-    used, compact = np.unique(bucket, return_inverse=True)
+    used = np.flatnonzero(often)
     n = len(used)
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(n)
+    compact = place[bucket]
+    del bucket, keep
     share = np.array([(y >= k).mean() for k in range(1, levels)]).clip(0.01, 0.99)
     first = -np.log(share / (1 - share))
 
@@ -174,7 +183,8 @@ def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     grade = F.when(F.col("quality") < 1, 0).when(F.coalesce(F.col("toxic"), F.lit(0)) > 0, 1).otherwise(2)
     one = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min(grade).alias("grade"))
-    return docs.where("text is not null").join(one, F.col("doc_id") == F.col("_id")).select("doc_id", F.col("text").cast("string").alias("text"), "grade")
+    texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
+    return texts.join(one, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> Ordinal:
@@ -190,7 +200,8 @@ def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
     """``docs`` with expected_grade double (0 to 2), p_good (a grade of 1 or more) and p_clean (a grade of 2) double.
 
     Columns of these names are replaced. A null text is graded like an empty one; whole texts are read; rows that
-    repeat get the same grades; without ratings all grades are as likely; an empty table stays empty.
+    repeat get the same grades; without ratings nothing speaks against any text and p_clean is 0.5; an empty table stays
+    empty.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights
     new = ["expected_grade", "p_good", "p_clean"]
@@ -199,7 +210,7 @@ def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
     def run(batches):
         model = shared.value
         for batch in batches:
-            for first, end, data, offsets in common.byte_chunks(batch.column(0)):
+            for first, end, data, offsets in common.byte_chunks(batch.column(0), CHUNK_BYTES):
                 tails = model.tails(model.position(end - first, *features(data, offsets)))
                 yield pa.RecordBatch.from_arrays([c.slice(first, end - first) for c in batch.columns[1:]] + [pa.array(tails.sum(1)), pa.array(tails[:, 0].copy()), pa.array(tails[:, -1].copy())], names=[*kept, *new])
 
