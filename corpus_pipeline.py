@@ -26,8 +26,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are likelier than not to be good and clean by a model of ``labels``.
 
-    Without labels all grades are as likely and the tail falls under the limit or not for all rows alike. Repeated rows
-    stay repeated; an empty table stays empty.
+    Without labels all documents stay. Repeated rows stay repeated; an empty table stays empty.
     """
     model = quality.learn(docs, common.table(spark, sf_dir, "labels"))
     return quality.grade(docs, model).where(F.col("p_clean") >= quality.SELECT_AT).select(*docs.columns)
