@@ -202,19 +202,50 @@ def residue_pair(left: Column, right: Column) -> Column:
         head | tail, F.lit(True)).otherwise((F.length(left) == 1) & ~last.isin(*rules.PARTICLE_ENDINGS))
 
 
-def join_segments(array: Column, repairs=rules.REPAIRS) -> Column:
+_HANGUL = re.compile("[가-힣]+")
+_REPAIRS = [(re.compile(p), r) for p, r in rules.REPAIRS]
+
+
+def _one_word(left: str, right: str) -> bool:
+    """``residue_pair`` for two words outside Spark."""
+    if len(left) + len(right) > 8 or not _HANGUL.fullmatch(left) or not _HANGUL.fullmatch(right) or left in rules.LEFT_STANDALONE:
+        return False
+    if right in rules.SUFFIX_TOKENS or right.startswith(rules.SUFFIX_PREFIXES):
+        return True
+    if right in rules.RIGHT_STANDALONE:
+        return False
+    return left in rules.COMPOUND_HEADS or right in rules.COMPOUND_TAILS or len(left) == 1 and left not in rules.PARTICLE_ENDINGS
+
+
+def _joined(segments: list[str] | None) -> str | None:
+    if segments is None:
+        return None
+    out = ""
+    for segment in (" ".join(s.replace("\0", " ").split()) for s in segments if s):
+        if not segment:
+            continue
+        left, right = out.rpartition(" ")[2], segment.partition(" ")[0]
+        cited = re.match(r"§[0-9A-Za-z().-]", right) and re.search("[0-9A-Za-z가-힣]$", left)
+        out += segment if not out or cited or _one_word(left, right) else " " + segment
+    if _HANGUL.search(out):  # the rules are about Hangul words
+        before = None
+        while before != out:
+            before = out
+            for p, r in _REPAIRS:
+                out = p.sub(r, out)
+    return out
+
+
+def join_segments(array: Column) -> Column:
     """Segments of a paragraph joined: references and split words without a space, others with one, then repaired.
 
-    The predicate looks at the words beside each break as they are after earlier joins, so this is a fold.
+    Each join looks at the words that earlier joins have made, so this runs over Arrow batches.
     """
-    words = F.filter(F.transform(array, normalize), lambda x: x != "")
 
-    def step(acc, line):
-        left, right = F.regexp_extract(acc, r"(\S+)$", 1), F.regexp_extract(line, r"^(\S+)", 1)
-        tight = right.rlike(r"^§[0-9A-Za-z().-]") & left.rlike("[0-9A-Za-z가-힣]$") | residue_pair(left, right)
-        return F.when(acc == "", line).when(tight, F.concat(acc, line)).otherwise(F.concat_ws(" ", acc, line))
+    def run(column: pd.Series) -> pd.Series:
+        return pd.Series([_joined(list(x) if x is not None else None) for x in column], dtype=object)
 
-    return repair(F.aggregate(words, F.lit(""), step), repairs, 2)
+    return F.pandas_udf(run, "string")(array)
 
 
 def _trim_headings(text: str | None, titles: list[str] | None) -> str | None:

@@ -69,14 +69,15 @@ def ranked(df: DataFrame, order: list[Column], into: str = "rank", parts: int =
     """All rows numbered from 1 by an order without one task for all: ranges are counted, then rows within ranges."""
     spread = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
     # written once: the ranges of a rerun could differ
-    spread = _kept(spread)
+    spread = written(spread)
     sizes = spread.groupBy("_part").agg(F.count("*").alias("_n"))
     ahead = sizes.withColumn("_ahead", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_part", "_ahead")
     within = F.row_number().over(W.partitionBy("_part").orderBy(*order))
     return spread.withColumn("_within", within).join(F.broadcast(ahead), "_part").withColumn(into, (F.col("_ahead") + F.col("_within")).cast("long")).drop("_part", "_within", "_ahead")  # ahead: a row per range
 
 
-def _kept(df: DataFrame) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder, for plans that read it many times."""
     import tempfile
 
     sc = df.sparkSession.sparkContext

@@ -1 +1,124 @@
-"""Queries."""
+"""Queries of document assembly and Markdown export."""
+
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from leafloom.functions import text
+from leafloom.operators import assembly as A
+from leafloom.operators import ordered as O
+from leafloom.plans.registry import query
+from leafloom.sources.tables import table
+
+
+@query("""SELECT r_regionkey AS part, lower(r_name) AS slug, n_nationkey AS chapter, lower(replace(replace(n_name, ' ', '-'), '_', '-')) AS chapter_slug, CAST(row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) AS BIGINT) AS position FROM region JOIN nation ON n_regionkey = r_regionkey
+UNION ALL SELECT -1, 'front', -1, 'cover', 1""")
+def d01_d03_toc(spark, sf_dir):
+    r = table(spark, sf_dir, "region").join(table(spark, sf_dir, "nation"), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = F.row_number().over(W.partitionBy("r_regionkey").orderBy("n_nationkey")).cast("long")
+    toc = r.select(F.col("r_regionkey").alias("part"), text.slug(F.col("r_name")).alias("slug"), F.col("n_nationkey").alias("chapter"), text.slug(F.col("n_name")).alias("chapter_slug"), n.alias("position"))
+    return toc.unionByName(spark.createDataFrame([(-1, "front", -1, "cover", 1)], toc.schema))
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS ord FROM documents), p AS (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY ord) AS prev FROM l),
+b AS (SELECT *, sum(CASE WHEN prev IS NOT NULL AND prev <> '' AND NOT regexp_matches(prev, '[.!?]$') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING) AS block FROM p)
+SELECT doc_id, CAST(block AS BIGINT) AS block, count(*) AS n_parts, string_agg(line, ' ' ORDER BY ord) AS line FROM b GROUP BY 1, 2""")
+def d04_range_blocks(spark, sf_dir):
+    l = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line"))
+    l = l.withColumn("prev", F.lag("line").over(W.partitionBy("doc_id").orderBy("ord")))
+    return A.merged_blocks(l, ["doc_id"], "ord", "line", (F.col("prev") != "") & ~F.col("prev").rlike("[.!?]$"))
+
+
+@query("""WITH p AS (SELECT page_id, string_split(html, '<p>') AS parts FROM pages), x AS (SELECT page_id, unnest(parts) AS part, unnest(range(len(parts))) AS ord FROM p) SELECT page_id, ord, length(part) AS n_chars, CASE WHEN ord = 0 THEN 'overview' ELSE 'p' END AS title FROM x""")
+def d05_m01_sections(spark, sf_dir):
+    s = A.sections(table(spark, sf_dir, "pages", "page_id", "html"), "page_id", "html", "<(p)>")
+    return s.select("page_id", F.col("ord").cast("long").alias("ord"), F.length("body").cast("long").alias("n_chars"), "title")
+
+
+@query("""WITH h AS (SELECT page_id, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h1, regexp_extract_all(html, '<li>') AS li FROM pages) SELECT page_id, '<section id="overview"><h2>' || h1 || '</h2>' || CASE WHEN len(li) > 4 THEN '<p>' || len(li) || '</p>' ELSE '' END || '</section>' AS html, h1 <> '' AS has_heading FROM h""")
+def d06_d10_rendering(spark, sf_dir):
+    p = table(spark, sf_dir, "pages", "page_id", "html").select("page_id", F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("h1"), F.regexp_count("html", F.lit("<li>")).alias("n"))
+    body = F.when(F.col("n") > 4, text.paragraph_html(F.col("n").cast("string"))).otherwise("")
+    return p.select("page_id", F.concat(F.lit('<section id="overview"><h2>'), "h1", F.lit("</h2>"), body, F.lit("</section>")).alias("html"), (F.col("h1") != "").alias("has_heading"))
+
+
+@query("""WITH p AS (SELECT p_size, p_partkey, p_brand FROM part), c AS (SELECT p_size, string_agg('<tr><td>' || p_partkey || '</td><td>' || replace(p_brand, '&', '&amp;') || '</td></tr>', '' ORDER BY p_partkey) AS body FROM p WHERE p_partkey BETWEEN 10 AND 9999 GROUP BY 1) SELECT p_size, '<table><tr><th>Key</th><th>Brand</th></tr>' || body || '</table>' AS html FROM c""")
+def d07_tables(spark, sf_dir):
+    p = table(spark, sf_dir, "part", "p_size", "p_partkey", "p_brand").where("p_partkey between 10 and 9999")
+    rows = F.array_sort(F.collect_list(F.struct("p_partkey", F.array(F.col("p_partkey").cast("string"), "p_brand").alias("c"))))
+    g = p.groupBy("p_size").agg(rows.alias("r")).withColumn("cells", F.concat(F.array(F.array(F.lit("Key"), F.lit("Brand"))), F.col("r.c")))
+    return g.select("p_size", A.table_html(F.col("cells")).alias("html"))
+
+
+@query("""SELECT r_regionkey, r_name || ' 편의 구성: ' || string_agg(n_name || ' (' || n_nationkey || ')', ' / ' ORDER BY n_nationkey) AS intro, r_name AS described, count(*) AS items FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1, r_name""")
+def d08_d13_part_intros(spark, sf_dir):
+    r = table(spark, sf_dir, "region").join(table(spark, sf_dir, "nation"), F.col("n_regionkey") == F.col("r_regionkey"))
+    item = F.struct("n_nationkey", F.concat("n_name", F.lit(" ("), "n_nationkey", F.lit(")")).alias("t"))
+    g = r.groupBy("r_regionkey", "r_name").agg(F.array_sort(F.collect_list(item)).alias("i")).withColumn("intro", A.part_intro(F.col("r_name"), F.col("i.t")))
+    described, items = A.parse_intro(F.col("intro"))
+    return g.select("r_regionkey", "intro", described.alias("described"), F.size(items).cast("long").alias("items"))
+
+
+@query("""WITH c AS (SELECT doc_id, source, lang, n_chars, CASE WHEN contains(text, ' | ') THEN 'table' END AS category, text FROM documents)
+SELECT 'part-intro' AS entry_type, source || '' AS id, count(*) AS n FROM c GROUP BY 2 UNION ALL SELECT 'search-alias', source, 1 FROM c WHERE source = 'src0' GROUP BY 2 UNION ALL SELECT 'overview', source || '/' || lang, count(*) FROM c GROUP BY 2 UNION ALL SELECT 'item', CAST(doc_id AS VARCHAR), n_chars FROM c WHERE category IS NOT NULL""")
+def d09_d11_p08_entries(spark, sf_dir):
+    d = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text").withColumn("categories", text.classify(F.col("text"), (("table", (" | ",)),)))
+    kind = lambda df, name, key, n: df.select(F.lit(name).alias("entry_type"), key.alias("id"), n.cast("long").alias("n"))
+    per = d.groupBy("source").agg(F.count("*").alias("n"))
+    over = d.groupBy("source", "lang").agg(F.count("*").alias("n"))
+    out = kind(per, "part-intro", F.col("source"), F.col("n")).unionByName(kind(per.where("source = 'src0'"), "search-alias", F.col("source"), F.lit(1)))
+    out = out.unionByName(kind(over, "overview", F.concat_ws("/", "source", "lang"), F.col("n")))
+    return out.unionByName(kind(d.where(F.size("categories") > 0), "item", F.col("doc_id").cast("string"), F.col("n_chars")))
+
+
+@query("""WITH c AS (SELECT d.doc_id, d.source, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)), o AS (SELECT source, min(doc_id) AS first FROM c GROUP BY 1)
+SELECT c.doc_id, coalesce(c.quality, CASE WHEN c.doc_id = o.first THEN 9 END, -1) AS resolved, CASE WHEN c.doc_id = o.first THEN 'overview' ELSE 'item' END AS entry_type FROM c JOIN o USING (source)""")
+def d12_adapted_entries(spark, sf_dir):
+    d = table(spark, sf_dir, "documents", "doc_id", "source").join(table(spark, sf_dir, "labels", "doc_id", "quality"), "doc_id", "left")
+    first = d.groupBy("source").agg(F.min("doc_id").alias("first"))
+    d = d.join(first, "source")
+    lead = F.col("doc_id") == F.col("first")
+    return d.select("doc_id", F.coalesce("quality", F.when(lead, 9), F.lit(-1)).alias("resolved"), F.when(lead, "overview").otherwise("item").alias("entry_type"))
+
+
+@query()
+def m02_m04_markdown(spark, sf_dir):
+    """The pages' headings and paragraphs as Markdown; an HTML walk, tested against worked examples."""
+    p = table(spark, sf_dir, "pages", "page_id", "html").withColumn("h1", F.regexp_extract("html", "<h1>([^<]*)</h1>", 1))
+    return p.select("page_id", A.markdown(F.col("html"), F.col("h1")).alias("markdown"))
+
+
+@query("""WITH c AS (SELECT d.doc_id, d.source, contains(d.text, chr(10)) AS headed, coalesce(l.toxic, 0) = 1 OR coalesce(l.quality, 1) = 0 AS risky FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, CASE WHEN source IN ('src3') THEN 'exclude' WHEN NOT risky THEN 'include' WHEN headed THEN 'omit-sections' ELSE 'exclude' END AS policy FROM c""")
+def m03_inclusion(spark, sf_dir):
+    d = table(spark, sf_dir, "documents", "doc_id", "source", "text").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    risky = (F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)
+    part = F.when(F.col("source") == "src3", "부 록").otherwise(F.col("source"))
+    return d.select("doc_id", A.inclusion(F.col("doc_id").cast("string"), part, F.contains("text", F.lit("\n")), risky).alias("policy"))
+
+
+@query("""WITH c AS (SELECT d.source, d.doc_id, d.text, coalesce(l.quality, 1) = 1 AS kept FROM documents d LEFT JOIN labels l USING (doc_id)), n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM c WHERE kept)
+SELECT source, lpad(CAST(k AS VARCHAR), 3, '0') || '__doc-' || doc_id || '.md' AS file, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS words FROM n""")
+def m05_export_files(spark, sf_dir):
+    d = table(spark, sf_dir, "documents", "source", "doc_id", "text").join(table(spark, sf_dir, "labels", "doc_id", "quality"), "doc_id", "left").where("coalesce(quality, 1) = 1")
+    words = F.size(F.filter(F.split("text", r"\s+"), lambda x: x != "")).cast("long")
+    slim = d.select("source", "doc_id", words.alias("words"))
+    k = F.row_number().over(W.partitionBy("source").orderBy("doc_id")).cast("string")
+    return slim.select("source", F.concat(F.when(F.length(k) < 3, F.lpad(k, 3, "0")).otherwise(F.substring(k, 1, 3)), F.lit("__"), text.slug(F.concat(F.lit("doc-"), "doc_id")), F.lit(".md")).alias("file"), "words")
+
+
+@query()
+def j12_nearest_unused(spark, sf_dir):
+    """Each of a label's even vectors with its nearest unused odd one; greedy consumption, tested against brute force."""
+    e = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label").withColumn("page", F.concat_ws("-", "label", F.floor(F.col("vec_id") / 100)))
+    other = e.where("vec_id % 2 = 1").select("page", F.col("vec_id").alias("other_id"), "embedding")
+    return A.nearest_unused(e.where("vec_id % 2 = 0").select("page", "vec_id", "embedding"), other, "page", "vec_id", "other_id", "embedding")
+
+
+@query()
+def r01_r03_table_regions(spark, sf_dir):
+    """Table regions of pages made of order lines; a region's box decides what joins it, so SQL has no form for it."""
+    l = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
+    g = l.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("columns"), F.sum("l_quantity").alias("q"))
+    top = F.col("l_linenumber") * 30.0
+    bands = g.select((F.col("l_orderkey") % 500).alias("page"), (top + F.col("l_orderkey")).alias("top"), (top + F.col("l_orderkey") + 11).alias("bottom"), F.lit(70.0).alias("left"), (70.0 + F.col("q")).alias("right"), (F.col("columns") + F.col("l_linenumber") % 2).alias("columns"))
+    return A.growing_regions(bands, ["page"])

@@ -1 +1,81 @@
-"""Queries."""
+"""Queries of the audit bundle: coverage, special sections, fidelity and samples."""
+
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from leafloom.functions import text
+from leafloom.operators import qa
+from leafloom.operators import relational as R
+from leafloom.plans.registry import query
+from leafloom.sources.tables import table
+
+_COVER = """WITH b AS (SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic, CASE WHEN l.doc_id IS NOT NULL THEN 'reader-body' WHEN d.lang = 'en' THEN 'search-only' END AS delivery_mode, trim(d.text) <> '' AS has_text FROM documents d LEFT JOIN labels l USING (doc_id))"""
+
+
+def _coverage(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").withColumn("rated", F.lit(True))
+    d = table(spark, sf_dir, "documents", "doc_id", "lang", "n_chars", "text").join(labels, "doc_id", "left")
+    mode = F.when(F.col("rated"), "reader-body").when(F.col("lang") == "en", "search-only")
+    return d.select("doc_id", "lang", "n_chars", "quality", "toxic", mode.alias("delivery_mode"), (F.trim("text") != "").alias("has_text"))
+
+
+@query(_COVER + "SELECT doc_id, delivery_mode, has_text, quality, delivery_mode IS NULL AND has_text AS uncovered FROM b")
+def b01_coverage_ledger(spark, sf_dir):
+    return _coverage(spark, sf_dir).select("doc_id", "delivery_mode", "has_text", "quality", (F.col("delivery_mode").isNull() & F.col("has_text")).alias("uncovered"))
+
+
+@query(_COVER + "SELECT coalesce(delivery_mode, 'none') AS mode, count(*) AS pages, count(*) FILTER (WHERE has_text) AS text_pages, min(doc_id) AS first_page, max(doc_id) AS last_page FROM b GROUP BY 1")
+def a08_coverage_summary(spark, sf_dir):
+    c = _coverage(spark, sf_dir)
+    return c.groupBy(F.coalesce("delivery_mode", F.lit("none")).alias("mode")).agg(F.count("*").alias("pages"), F.count_if("has_text").alias("text_pages"), F.min("doc_id").alias("first_page"), F.max("doc_id").alias("last_page"))
+
+
+@query("""WITH t AS (SELECT doc_id, unnest(list_filter([CASE WHEN contains(text, 'License') THEN {'g': 'legend', 't': 'License'} END, CASE WHEN contains(text, 'Licensed') THEN {'g': 'legend', 't': 'Licensed'} END, CASE WHEN contains(text, ' | ') THEN {'g': 'appendix', 't': ' | '} END, CASE WHEN contains(text, '@') THEN {'g': 'contact', 't': '@'} END], lambda x: x IS NOT NULL)) AS r FROM documents)
+SELECT r.g AS section_group, r.t AS term, count(DISTINCT doc_id) AS records, min(doc_id) AS first_record FROM t GROUP BY 1, 2""")
+def b02_special_sections(spark, sf_dir):
+    rules = (("legend", "License"), ("legend", "Licensed"), ("appendix", " | "), ("contact", "@"))
+    hits = F.array_compact(F.array(*(F.when(F.contains("text", F.lit(t)), F.struct(F.lit(g).alias("g"), F.lit(t).alias("t"))) for g, t in rules)))
+    t = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.explode(hits).alias("r")).distinct()
+    return t.groupBy(F.col("r.g").alias("section_group"), F.col("r.t").alias("term")).agg(F.count("*").alias("records"), F.min("doc_id").alias("first_record"))
+
+
+@query("""SELECT conv_id, string_agg(trim(text), ' ' ORDER BY turn) AS page_text, count(*) AS candidates, min(turn) AS first_turn FROM conversations WHERE role <> 'system' GROUP BY 1""")
+def b03_b04_page_text(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").where("role <> 'system'").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.trim("text").alias("t")))).alias("c"))
+    return c.select("conv_id", F.array_join("c.t", " ").alias("page_text"), F.size("c").cast("long").alias("candidates"), F.get("c", F.lit(0))["turn"].alias("first_turn"))
+
+
+@query(_COVER + "SELECT doc_id, CASE WHEN quality IS NOT NULL THEN 'review' WHEN lang = 'en' THEN 'candidate' ELSE 'none' END AS locator_source, coalesce(quality, length(lang)) AS locator FROM b")
+def b05_locators(spark, sf_dir):
+    c = _coverage(spark, sf_dir)
+    source = F.when(F.col("quality").isNotNull(), "review").when(F.col("lang") == "en", "candidate").otherwise("none")
+    return c.select("doc_id", source.alias("locator_source"), F.coalesce(F.col("quality").cast("long"), F.length("lang").cast("long")).alias("locator"))
+
+
+@query("""SELECT page_id, contains(html, 'class="ad"') AS has_ad, contains(html, 'id="overview"') AS has_marker, len(regexp_extract_all(html, '<section')) AS sections FROM pages""")
+def b06_section_markers(spark, sf_dir):
+    p = table(spark, sf_dir, "pages", "page_id", "html")
+    return p.select("page_id", F.contains("html", F.lit('class="ad"')).alias("has_ad"), F.contains("html", F.lit('id="overview"')).alias("has_marker"), F.regexp_count("html", F.lit("<section")).cast("long").alias("sections"))
+
+
+_FID = """WITH t AS (SELECT conv_id, turn, regexp_extract_all(text, '[0-9A-Za-z().~-]+') AS toks FROM conversations), p AS (SELECT a.conv_id, a.turn, a.toks AS src, b.toks AS cmp FROM t a LEFT JOIN t b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1),
+s AS (SELECT conv_id, turn, len(src) AS source_tokens, len(cmp) AS candidate_tokens, len(list_filter(list_distinct(src), lambda x: NOT list_contains(coalesce(cmp, []), x))) AS missing FROM p)"""
+
+
+@query(_FID + """SELECT conv_id, turn, source_tokens, coalesce(candidate_tokens, 0) AS candidate_tokens, missing, CASE WHEN candidate_tokens IS NULL OR candidate_tokens = 0 THEN 'unsupported' WHEN missing > source_tokens / 2 THEN 'ambiguous' ELSE 'candidate-backed' END AS status,
+ array_to_string(list_filter(['tokens-only', CASE WHEN candidate_tokens IS NULL THEN 'no-candidate' END, CASE WHEN missing > 0 THEN 'missing-tokens' END], lambda x: x IS NOT NULL), ',') AS limitations FROM s""")
+def b07_b08_b10_fidelity(spark, sf_dir):
+    t = table(spark, sf_dir, "conversations", "conv_id", "turn", "text").withColumn("toks", text.tokens(F.col("text"), "[0-9A-Za-z().~-]+"))
+    t = t.withColumns({"_next": F.lead("toks").over(W.partitionBy("conv_id").orderBy("turn")), "_turn": F.lead("turn").over(W.partitionBy("conv_id").orderBy("turn"))})
+    other = F.when(F.col("_turn") == F.col("turn") + 1, F.col("_next"))
+    missing = F.size(F.array_except("toks", F.coalesce(other, F.array().cast("array<string>")))).cast("long")
+    n = F.size(F.coalesce(other, F.array().cast("array<string>"))).cast("long")
+    out = t.select("conv_id", "turn", F.size("toks").cast("long").alias("source_tokens"), n.alias("candidate_tokens"), missing.alias("missing"), other.isNull().alias("_none"))
+    status = F.when(F.col("candidate_tokens") == 0, "unsupported").when(F.col("missing") > F.col("source_tokens") / 2, "ambiguous").otherwise("candidate-backed")
+    notes = qa.flag_array(("tokens-only", F.lit(True)), ("no-candidate", F.col("_none")), ("missing-tokens", F.col("missing") > 0))
+    return out.withColumns({"status": status, "limitations": F.array_join(notes, ",")}).drop("_none")
+
+
+@query(_FID + """SELECT 'status' AS dimension, CASE WHEN candidate_tokens IS NULL OR candidate_tokens = 0 THEN 'unsupported' WHEN missing > source_tokens / 2 THEN 'ambiguous' ELSE 'candidate-backed' END AS value, count(*) AS n FROM s GROUP BY 2""")
+def b10_b11_bundle_summary(spark, sf_dir):
+    return R.counters(b07_b08_b10_fidelity(spark, sf_dir), ["status"])

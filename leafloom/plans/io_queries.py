@@ -1 +1,39 @@
-"""Queries."""
+"""Queries of sources, sinks and the streaming inventory."""
+
+from pyspark.sql import functions as F
+
+from leafloom.plans.registry import query
+from leafloom.sources import tables
+from leafloom.sources.tables import table
+
+
+@query("SELECT 40 AS scan_limit, 80 AS slug_limit, 12 AS repetitions")
+def s01_p07_settings(spark, sf_dir):
+    given = spark.createDataFrame([("40", None)], "scan_limit string, slug_limit string")
+    return tables.with_defaults(given, {"scan_limit": 30, "slug_limit": 80, "repetitions": 12})
+
+
+@query("SELECT d.doc_id, l.quality AS override FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id AND l.quality = 0")
+def s09_s10_overrides(spark, sf_dir):
+    own = table(spark, sf_dir, "labels", "doc_id", "quality").where("quality = 0 and doc_id is not null").withColumnRenamed("quality", "override")
+    none = tables.optional(spark, f"{sf_dir}/no-such-table.parquet", "doc_id long, override int")
+    return table(spark, sf_dir, "documents", "doc_id").join(own.unionByName(none), "doc_id", "left")
+
+
+@query("SELECT c_custkey, json_object('name', c_name, 'segment', c_mktsegment, 'note', NULL) AS json FROM customer")
+def k01_c02_json_rows(spark, sf_dir):
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment")
+    row = F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.lit(None).cast("string").alias("note"))
+    return c.select("c_custkey", F.to_json(row, {"ignoreNullFields": "false"}).alias("json"))
+
+
+@query("SELECT event_type, string_agg(k || '=' || n, ',' ORDER BY k) AS histogram FROM (SELECT event_type, user_id % 3 AS k, count(*) AS n FROM events GROUP BY ALL) GROUP BY 1")
+def c02_maps(spark, sf_dir):
+    e = table(spark, sf_dir, "events", "event_type", "user_id").groupBy("event_type", (F.col("user_id") % 3).alias("k")).agg(F.count("*").alias("n"))
+    m = e.groupBy("event_type").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias("m"))
+    return m.select("event_type", F.array_join(F.transform(F.map_entries("m"), lambda x: F.concat_ws("=", x["key"], x["value"])), ",").alias("histogram"))
+
+
+@query("SELECT strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS built_at, count(*) AS n FROM events GROUP BY 1")
+def c04_utc_stamps(spark, sf_dir):
+    return table(spark, sf_dir, "events", "ts").groupBy(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("built_at")).agg(F.count("*").alias("n"))

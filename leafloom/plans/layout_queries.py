@@ -1 +1,61 @@
-"""Queries."""
+"""Queries of layout analysis over lines with made-up boxes."""
+
+from pyspark.sql import functions as F
+
+from leafloom.operators import layout as L
+from leafloom.operators import ordered as O
+from leafloom.plans.registry import query
+from leafloom.sources.tables import table
+
+_LINES = """WITH x AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '') AS ls FROM documents),
+y AS (SELECT doc_id, unnest(ls) AS text, unnest(range(len(ls))) AS pos FROM x), l AS (SELECT doc_id, CAST(pos // 40 + 1 AS INTEGER) AS page, CAST(pos % 40 AS INTEGER) AS line, text, 70.0::DOUBLE AS l, least(525.0, 70.0 + 8.0 * length(text))::DOUBLE AS r FROM y),
+c AS (SELECT *, abs((l + r) / 2 - 297.5) <= 59.5 AND abs(l - (595 - r)) <= 71.4 AND r - l <= 357 AS mid, regexp_matches(text, '(?:[·.]\\s*){5,}') AS leader,
+ regexp_matches(text, '^(?:\\d+[.)]|[가-힣][.)]|[(（]\\d+[)）]|[(（][가-힣IVXLC]{1,3}[)）]|[A-Za-z][.)]|[oO])(?:\\s+|$)') OR starts_with(text, '§') OR regexp_matches(text, '(?:[·.]\\s*){5,}') AS marker FROM l)"""
+
+
+def _lines(spark, sf_dir):
+    return L.synthetic(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query(_LINES + """SELECT doc_id, page, line, text, l AS "left", r AS "right" FROM l""")
+def s06_synthetic_lines(spark, sf_dir):
+    return _lines(spark, sf_dir).select("doc_id", "page", "line", "text", "left", "right")
+
+
+@query(_LINES + """SELECT doc_id, page, line, mid AS is_centered, CASE WHEN mid AND length(text) <= 20 THEN 'heading' ELSE 'body' END AS kind, marker FROM c""")
+def g01_g02_x25_line_kinds(spark, sf_dir):
+    return L.described(_lines(spark, sf_dir)).select("doc_id", "page", "line", "is_centered", "kind", "marker")
+
+
+@query(_LINES + """SELECT doc_id, page, count(*) AS n_lines, round(avg(mid::INT), 6) AS centered_ratio, round(avg(leader::INT), 6) AS leader_ratio, count(*) FILTER (WHERE marker) AS markers FROM c GROUP BY 1, 2""")
+def a14_page_features(spark, sf_dir):
+    f = L.features(L.described(_lines(spark, sf_dir)))
+    return f.select("doc_id", "page", "n_lines", F.round("centered_ratio", 6).alias("centered_ratio"), F.round("leader_ratio", 6).alias("leader_ratio"), "markers")
+
+
+@query(_LINES + """, b AS (SELECT *, NOT mid AND r - l >= 267.75 AND NOT leader AND length(text) >= 8 AS body FROM c), g AS (SELECT *, line - row_number() OVER (PARTITION BY doc_id, page, body ORDER BY line) AS run FROM b),
+r AS (SELECT doc_id, page, run, count(*) AS n FROM g WHERE body GROUP BY ALL), m AS (SELECT doc_id, page, max(n) AS n FROM r GROUP BY ALL), p AS (SELECT doc_id, page, count(*) AS n FROM c GROUP BY ALL) SELECT p.doc_id, p.page, coalesce(m.n, 0) AS body_run FROM p LEFT JOIN m USING (doc_id, page)""")
+def w03_body_runs(spark, sf_dir):
+    return L.features(L.described(_lines(spark, sf_dir))).select("doc_id", "page", "body_run")
+
+
+@query()
+def l01_page_layouts(spark, sf_dir):
+    """Layouts with the evidence they follow from; checked on made-up pages of every layout in the tests."""
+    f = L.features(O.written(L.described(L.cleaned(_lines(spark, sf_dir)))))
+    return f.select("doc_id", "page", "layout", "n_lines", "body_run", "table_bands", "anchor_grid", F.round("anchor", 3).alias("anchor"), F.round("line_gap", 3).alias("line_gap"))
+
+
+@query()
+def l02_l13_paragraphs(spark, sf_dir):
+    """Paragraphs of all pages; they depend on what was open before, which SQL has no fold for."""
+    told = O.written(L.described(L.cleaned(_lines(spark, sf_dir))))
+    return L.paragraphs(L.boundaries(told, L.features(told))).select("doc_id", "page", "paragraph", "layout", "kind", "reason", F.size("lines").alias("n_lines"), "text")
+
+
+@query()
+def l10_l16_page_review(spark, sf_dir):
+    """The review of all pages, with manual starts on the first page of documents rated low."""
+    rated = table(spark, sf_dir, "labels", "doc_id", "quality").where("quality = 0")
+    overrides = rated.select("doc_id", F.lit(1).alias("page"), F.lit(2).alias("index"))
+    return L.reviewed(_lines(spark, sf_dir), overrides).select("doc_id", "page", "layout", "confidence", "n_paragraphs", "has_override", "merge_first")
