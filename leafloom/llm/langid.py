@@ -224,11 +224,18 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
     return Crf(labels, weights.astype(np.float32), start, moves, lexicon)
 
 
-def training_rows(docs: DataFrame, per_lang: int = FIT_DOCS, chars: int = FIT_CHARS) -> DataFrame:
-    """(lang, text): up to ``per_lang`` labelled documents of each language by hash, up to ``chars`` characters of each."""
-    rows = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), F.substring("text", 1, chars).alias("text"), F.xxhash64("text").alias("_h"))
+def training_rows(docs: DataFrame, per_lang: int = FIT_DOCS, chars: int = FIT_CHARS) -> list[tuple[str, str]]:
+    """(lang, text): up to ``per_lang`` labelled texts of each language by hash, up to ``chars`` characters of each.
+
+    The hashes are chosen without the texts, and each task passes on its smallest only; then the chosen are looked up.
+    """
+    rows = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("_h"), "text")
     by = W.partitionBy("lang").orderBy("_h")
-    return rows.withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= per_lang).orderBy("lang", "_h").select("lang", "text")
+    chosen = rows.select("lang", "_h").withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= per_lang).select("lang", "_h").distinct()
+    # per_lang rows of 16 bytes for each language
+    found = rows.join(F.broadcast(chosen), ["lang", "_h"]).select("lang", "_h", F.substring("text", 1, chars).alias("text"))
+    found = found.groupBy("lang", "_h").agg(F.min("text").alias("text"))
+    return [(r.lang, r.text) for r in found.orderBy("lang", "_h").collect()]
 
 
 def identify(docs: DataFrame, train: DataFrame, with_spans: bool = False) -> DataFrame:
@@ -241,8 +248,8 @@ def identify(docs: DataFrame, train: DataFrame, with_spans: bool = False) -> Dat
     table stays empty.
     """
     spark = docs.sparkSession
-    rows = training_rows(train).collect()  # FIT_DOCS rows of FIT_CHARS characters for each language
-    shared = spark.sparkContext.broadcast(fit([r.text for r in rows], [r.lang for r in rows]))
+    rows = training_rows(train)  # FIT_DOCS rows of FIT_CHARS characters for each language
+    shared = spark.sparkContext.broadcast(fit([t for _, t in rows], [c for c, _ in rows]))
     span = "array<struct<first_word:long,words:long,lang:string>>"
     new = {"lang_pred": "string", "score": "double"} | ({"spans": span} if with_spans else {})
     kept = [c for c in docs.columns if c not in new]
