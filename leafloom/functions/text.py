@@ -193,28 +193,42 @@ def has_residue(words: Column, test) -> Column:
 
 def residue_pair(left: Column, right: Column) -> Column:
     """Whether two Hangul words are likely one that a line break has split."""
-    hangul = left.rlike("^[가-힣]+$") & right.rlike("^[가-힣]+$") & (F.length(left) + F.length(right) <= 8)
-    last = F.substring(left, -1, 1)
-    suffix = right.isin(*rules.SUFFIX_TOKENS) | reduce(lambda a, b: a | b, (F.startswith(right, F.lit(p)) for p in rules.SUFFIX_PREFIXES))
-    head = left.isin(*rules.COMPOUND_HEADS)
-    tail = right.isin(*rules.COMPOUND_TAILS)
-    return hangul & F.when(left.isin(*rules.LEFT_STANDALONE), F.lit(False)).when(suffix, F.lit(True)).when(right.isin(*rules.RIGHT_STANDALONE), F.lit(False)).when(
-        head | tail, F.lit(True)).otherwise((F.length(left) == 1) & ~last.isin(*rules.PARTICLE_ENDINGS))
+    suffix = lambda c: c.isin(*rules.SUFFIX_TOKENS, *rules.SUFFIX_PREFIXES)
+    rest, head, alone = F.substring(right, 2, 20), F.substring(right, 1, 1), left.isin(*rules.LEFT_STANDALONE)
+    long = F.length(left) >= 2
+    rule = (
+        F.when(suffix(right) | head.isin(*rules.COMPOUND_TAILS) & suffix(rest), ~alone)
+        .when(long & (head == "자") & suffix(rest) | F.endswith(left, F.lit("으")) & (head == "로"), F.lit(True))
+        .when(alone | right.isin(*rules.RIGHT_STANDALONE) | long & F.substring(left, -1, 1).isin(*rules.PARTICLE_ENDINGS), F.lit(False))
+        .otherwise(left.isin(*rules.COMPOUND_HEADS) & (F.length(right) >= 3) | right.isin(*rules.COMPOUND_TAILS))
+    )
+    return left.rlike("^[가-힣]+$") & right.rlike("^[가-힣]+$") & (F.length(left) + F.length(right) <= 8) & rule
+
+
+def linebreak_residue(c: Column) -> Column:
+    """Whether a text has neighbouring words that a line break has split, or a reference torn from its law."""
+    return has_residue(F.split(normalize(c), " "), lambda a, b: residue_pair(a, b) | F.startswith(b, F.lit("§")))
 
 
 _HANGUL = re.compile("[가-힣]+")
 _REPAIRS = [(re.compile(p), r) for p, r in rules.REPAIRS]
 
 
+_SUFFIXES = {*rules.SUFFIX_TOKENS, *rules.SUFFIX_PREFIXES}
+
+
 def _one_word(left: str, right: str) -> bool:
     """``residue_pair`` for two words outside Spark."""
-    if len(left) + len(right) > 8 or not _HANGUL.fullmatch(left) or not _HANGUL.fullmatch(right) or left in rules.LEFT_STANDALONE:
+    if not left or not right or len(left) + len(right) > 8:
         return False
-    if right in rules.SUFFIX_TOKENS or right.startswith(rules.SUFFIX_PREFIXES):
+    alone = left in rules.LEFT_STANDALONE
+    if right in _SUFFIXES or right[0] in rules.COMPOUND_TAILS and right[1:] in _SUFFIXES:
+        return not alone
+    if len(left) >= 2 and right[0] == "자" and right[1:] in _SUFFIXES or left[-1] == "으" and right[0] == "로":
         return True
-    if right in rules.RIGHT_STANDALONE:
+    if alone or right in rules.RIGHT_STANDALONE or len(left) >= 2 and left[-1] in rules.PARTICLE_ENDINGS:
         return False
-    return left in rules.COMPOUND_HEADS or right in rules.COMPOUND_TAILS or len(left) == 1 and left not in rules.PARTICLE_ENDINGS
+    return left in rules.COMPOUND_HEADS and len(right) >= 3 or right in rules.COMPOUND_TAILS
 
 
 def _joined(segments: list[str] | None) -> str | None:
@@ -224,8 +238,9 @@ def _joined(segments: list[str] | None) -> str | None:
     for segment in (" ".join(s.replace("\0", " ").split()) for s in segments if s):
         if not segment:
             continue
-        left, right = out.rpartition(" ")[2], segment.partition(" ")[0]
-        cited = re.match(r"§[0-9A-Za-z().-]", right) and re.search("[0-9A-Za-z가-힣]$", left)
+        # the Hangul that touches the break: up to six before it and ten behind it
+        left, right = re.search("[가-힣]{0,6}$", out)[0], re.match("[가-힣]{0,10}", segment)[0]
+        cited = re.match(r"§[0-9A-Za-z().-]", segment) and re.search("[0-9A-Za-z가-힣]$", out)
         out += segment if not out or cited or _one_word(left, right) else " " + segment
     if _HANGUL.search(out):  # the rules are about Hangul words
         before = None
