@@ -285,3 +285,22 @@ def trim_headings(text: Column, titles: Column) -> Column:
         return pd.Series([_trim_headings(a, list(b) if b is not None else []) for a, b in zip(text, titles, strict=True)], dtype=object)
 
     return F.pandas_udf(run, "string")(text, titles)
+
+
+def python_round(c: Column, digits: int = 1) -> Column:
+    """Rounds doubles to the nearest decimal of their exact binary value, halves to even.
+
+    The scaled value is kept as a product and its rounding error (Dekker 1971), so a tie is a tie of the exact value.
+    """
+    scale = F.lit(float(10**digits))
+    x = c.cast("double")
+    big = x * F.lit(134217729.0)
+    high = big - (big - x)
+    product = x * scale
+    error = (high * scale - product) + (x - high) * scale
+    whole = F.floor(product).cast("double")
+    over = (product - whole - 0.5) + error
+    # an error may reach below the floor's own whole number
+    down, up = F.when((product == whole) & (error < -0.5), whole - 1).otherwise(whole), whole + 1
+    even = F.when(whole % 2 == 0, whole).otherwise(up)
+    return F.when(over > 0, up).when(over < 0, down).otherwise(even) / scale

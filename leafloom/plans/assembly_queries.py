@@ -10,7 +10,7 @@ from leafloom.plans.registry import query
 from leafloom.sources.tables import table
 
 
-@query("""SELECT r_regionkey AS part, lower(r_name) AS slug, n_nationkey AS chapter, lower(replace(replace(n_name, ' ', '-'), '_', '-')) AS chapter_slug, CAST(row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) AS BIGINT) AS position FROM region JOIN nation ON n_regionkey = r_regionkey
+@query("""SELECT r_regionkey AS part, lower(replace(r_name, ' ', '-')) AS slug, n_nationkey AS chapter, lower(replace(replace(n_name, ' ', '-'), '_', '-')) AS chapter_slug, CAST(row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) AS BIGINT) AS position FROM region JOIN nation ON n_regionkey = r_regionkey
 UNION ALL SELECT -1, 'front', -1, 'cover', 1""")
 def d01_d03_toc(spark, sf_dir):
     r = table(spark, sf_dir, "region").join(table(spark, sf_dir, "nation"), F.col("n_regionkey") == F.col("r_regionkey"))

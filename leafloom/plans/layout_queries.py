@@ -59,3 +59,29 @@ def l10_l16_page_review(spark, sf_dir):
     rated = table(spark, sf_dir, "labels", "doc_id", "quality").where("quality = 0")
     overrides = rated.select("doc_id", F.lit(1).alias("page"), F.lit(2).alias("index"))
     return L.reviewed(_lines(spark, sf_dir), overrides).select("doc_id", "page", "layout", "confidence", "n_paragraphs", "has_override", "merge_first")
+
+
+_GRID = """WITH x AS (SELECT l_orderkey % 500 AS page, CAST(l_linenumber AS DOUBLE) * 20 AS top, 70.0 + (l_partkey % 5) * 90 AS l, l_quantity * 4.0 AS w, l_orderkey, l_partkey, l_suppkey, l_extendedprice FROM lineitem), s AS (SELECT * FROM x WHERE w <= 208.25)"""
+
+
+@query(_GRID + """, c AS (SELECT page, l, count(*) AS n FROM s GROUP BY ALL) SELECT page, CAST(sum(n) AS BIGINT) AS short, count(*) AS clusters, count(*) FILTER (WHERE n >= 5) AS strong, sum(n) >= 15 AND count(*) FILTER (WHERE n >= 5) >= 3 AS anchor_grid FROM c GROUP BY 1""")
+def a15_anchor_grids(spark, sf_dir):
+    """Pages whose short lines stand at a few repeated left edges; edges closer than the tolerance count as one."""
+    x = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity").select((F.col("l_orderkey") % 500).alias("page"), (70.0 + (F.col("l_partkey") % 5) * 90).alias("left"), (F.col("l_quantity") * 4).alias("width"), "l_partkey")
+    c = O.clusters(x.where("width <= 208.25"), ["page"], "left", 18.0, ["left", "l_partkey"]).groupBy("page", "cluster").agg(F.count("*").alias("n"))
+    strong = F.count_if(F.col("n") >= 5)
+    return c.groupBy("page").agg(F.sum("n").alias("short"), F.count("*").alias("clusters"), strong.alias("strong"), ((F.sum("n") >= 15) & (strong >= 3)).alias("anchor_grid"))
+
+
+@query(_GRID + """, b AS (SELECT page, top, count(DISTINCT l) AS columns FROM s GROUP BY ALL) SELECT page, count(*) FILTER (WHERE columns >= 3) AS table_bands, max(columns) AS most FROM b GROUP BY 1""")
+def a16_table_bands(spark, sf_dir):
+    x = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity").select((F.col("l_orderkey") % 500).alias("page"), (F.col("l_linenumber") * 20.0).alias("top"), (70.0 + (F.col("l_partkey") % 5) * 90).alias("left"), (F.col("l_quantity") * 4).alias("width"), "l_partkey", "l_orderkey")
+    b = O.bands(x.where("width <= 208.25").withColumn("bottom", F.col("top") + 11), ["page"], "top", "bottom", 3.0, ["top", "left", "l_partkey", "l_orderkey"])
+    c = O.clusters(b, ["page", "band"], "left", 18.0, ["left", "l_partkey", "l_orderkey"]).groupBy("page", "band").agg(F.max("cluster").alias("columns"))
+    return c.groupBy("page").agg(F.count_if(F.col("columns") >= 3).alias("table_bands"), F.max("columns").alias("most"))
+
+
+@query(_LINES + """, f AS (SELECT doc_id, page, CASE WHEN count(*) FILTER (WHERE NOT mid AND length(text) >= 8 AND NOT leader) > 0 THEN 10.0::DOUBLE END AS body_font FROM c GROUP BY ALL) SELECT doc_id, page, body_font, coalesce(abs(10.0 - body_font), 0.0)::DOUBLE AS off FROM f""")
+def g03_body_fonts(spark, sf_dir):
+    d = L.described(_lines(spark, sf_dir)).groupBy("doc_id", "page").agg(F.first("body_font").alias("body_font"), F.max(F.coalesce(F.abs(F.col("font_size") - F.col("body_font")), F.lit(0.0))).alias("off"))
+    return d

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from leafloom.functions import text
 from leafloom.operators import ordered as O
+from leafloom.operators import relational as R
 from leafloom.plans.registry import query
 from leafloom.sources.tables import table
 
@@ -116,3 +117,46 @@ def t09_q06_catalog_order(spark, sf_dir):
     place = F.when(F.col("role") == "system", 0).when(F.col("role") == "user", 1).otherwise(3)
     c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(place.alias("p"), "turn", "role"))).alias("c"))
     return c.select("conv_id", F.array_join(F.transform("c", lambda x: F.concat(x["turn"], x["role"])), ",").alias("catalog"))
+
+
+@query("""WITH p AS (SELECT conv_id, turn, role, min(turn) FILTER (WHERE contains(text, 'e')) OVER (PARTITION BY conv_id) AS first FROM conversations), r AS (SELECT *, sum(CASE WHEN role = 'assistant' AND turn > first THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS ended FROM p WHERE turn >= first)
+SELECT conv_id, turn FROM r WHERE ended = 0""")
+def p03_toc_pages(spark, sf_dir):
+    """The first page with the marker and those behind it while their kind stays."""
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    first = F.min(F.when(F.contains("text", F.lit("e")), F.col("turn"))).over(W.partitionBy("conv_id"))
+    c = c.withColumn("first", first).where(F.col("turn") >= F.col("first"))
+    ended = F.sum(F.when((F.col("role") == "assistant") & (F.col("turn") > F.col("first")), 1).otherwise(0)).over(W.partitionBy("conv_id").orderBy("turn").rowsBetween(W.unboundedPreceding, 0))
+    return c.withColumn("ended", ended).where("ended = 0").select("conv_id", "turn")
+
+
+@query("""WITH n AS (SELECT r_regionkey AS r, CAST(-1 AS INT) AS n, CAST(-1 AS BIGINT) AS s, 1 AS level, r_name AS title FROM region UNION ALL SELECT n_regionkey, n_nationkey, -1, 2, n_name FROM nation UNION ALL SELECT n_regionkey, n_nationkey, s_suppkey, 3, s_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT r AS doc, row_number() OVER (PARTITION BY r ORDER BY n, s) AS index, level, title FROM n""")
+def s05_outline(spark, sf_dir):
+    r, n, s = (table(spark, sf_dir, t) for t in ("region", "nation", "supplier"))
+    rows = r.select(F.col("r_regionkey").alias("doc"), F.lit(-1).alias("n"), F.lit(-1).cast("long").alias("s"), F.lit(1).alias("level"), F.col("r_name").alias("title"))
+    rows = rows.unionByName(n.select(F.col("n_regionkey").alias("doc"), F.col("n_nationkey").alias("n"), F.lit(-1).cast("long").alias("s"), F.lit(2).alias("level"), F.col("n_name").alias("title")))
+    rows = rows.unionByName(s.join(n, F.col("n_nationkey") == F.col("s_nationkey")).select(F.col("n_regionkey").alias("doc"), F.col("n_nationkey").alias("n"), F.col("s_suppkey").alias("s"), F.lit(3).alias("level"), F.col("s_name").alias("title")))
+    return rows.select("doc", F.row_number().over(W.partitionBy("doc").orderBy("n", "s")).cast("long").alias("index"), "level", text.clean_title(F.col("title"), True).alias("title"))
+
+
+@query("""WITH f AS (SELECT source, count(*) AS n FROM documents WHERE contains(text, ' | ') GROUP BY 1) SELECT source, n, CAST(row_number() OVER (ORDER BY n DESC, source) AS BIGINT) AS rank FROM f ORDER BY rank LIMIT 8""")
+def t05_report_limit(spark, sf_dir):
+    f = table(spark, sf_dir, "documents", "source", "text").where(F.contains("text", F.lit(" | "))).groupBy("source").agg(F.count("*").alias("n"))
+    return O.top_ranked(f, [F.desc("n"), F.col("source")], 8)
+
+
+@query()
+def g04_python_rounding(spark, sf_dir):
+    """Prices rounded by their exact binary value, which SQL's decimal casts do not see; tested against Python."""
+    l = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return l.withColumn("rounded", text.python_round(F.col("l_extendedprice") / 7))
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), a AS (SELECT sha1(line) AS h, min(doc_id) AS first, count(DISTINCT doc_id) AS n FROM l WHERE length(line) >= 20 GROUP BY 1)
+SELECT h[1:12] AS id, first AS first_page, n AS pages, row_number() OVER (PARTITION BY first ORDER BY h) AS position FROM a WHERE n <= 12""")
+def m06_t07_manifest(spark, sf_dir):
+    """The manifest of assets that are not too small and not repeated on too many pages, in order of first page and id."""
+    l = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") >= 20)
+    a = R.content_assets(l, "line", "doc_id", F.col("doc_id"), 12).where("kept").withColumn("first_page", F.array_min("holders"))
+    return a.select(F.col("asset_id").alias("id"), "first_page", F.col("n_holders").alias("pages"), F.row_number().over(W.partitionBy("first_page").orderBy("hash")).cast("long").alias("position"))

@@ -188,3 +188,22 @@ def test_lines_of_odd_texts(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, " \n\n ")], "doc_id long, text string")
     assert layout.synthetic(df).collect() == []
     assert [r.x for r in df.select(F.size(text.lines(F.coalesce("text", F.lit("")))).alias("x")).collect()] == [0, 0, 0]
+
+
+def test_paged_files_and_rounding(spark, tmp_path):
+    from leafloom.sources.pages import PagedFiles
+
+    (tmp_path / "a.txt").write_text("one\ftwo\0 \f")
+    (tmp_path / "skip.bin").write_bytes(b"x")
+    spark.dataSource.register(PagedFiles)
+    rows = sorted(map(tuple, spark.read.format("paged").load(str(tmp_path)).collect()))
+    assert rows == [("a.txt", 1, "one"), ("a.txt", 2, "two"), ("a.txt", 3, "")]
+    got = spark.createDataFrame([(0.25,), (0.15,), (9.95,), (2.25,), (14352.85,), (-0.25,), (7.0,)], "x double").select(text.python_round(F.col("x")).alias("r")).collect()
+    assert [r.r for r in got] == [round(v, 1) for v in (0.25, 0.15, 9.95, 2.25, 14352.85, -0.25, 7.0)]
+
+
+def test_rounding_equals_python(spark, sf):
+    from leafloom.plans import registry
+
+    rows = registry.QUERIES["g04_python_rounding"](spark, sf).collect()
+    assert rows and all(r.rounded == round(r.l_extendedprice / 7, 1) for r in rows)
