@@ -8,7 +8,9 @@ from leafloom.operators import relational as R
 from leafloom.plans.registry import query
 from leafloom.sources.tables import table
 
-ROLE_LEVEL = F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2).otherwise(3)
+def role_level():
+    return F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2).otherwise(3)
+
 _LEVELS = "SELECT conv_id, turn, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 ELSE 3 END AS level FROM conversations"
 
 
@@ -83,13 +85,13 @@ def j09_d02_hierarchy(spark, sf_dir):
 
 @query(f"""WITH l AS ({_LEVELS}) SELECT a.conv_id, a.turn, a.level, (SELECT max(b.turn) FROM l b WHERE b.conv_id = a.conv_id AND b.turn < a.turn AND b.level < a.level) AS parent FROM l a""")
 def j10_parents(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role").withColumn("level", ROLE_LEVEL).drop("role")
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role").withColumn("level", role_level()).drop("role")
     return R.parent_by_level(c, ["conv_id"], "turn", "level", 3)
 
 
 @query(f"""WITH l AS ({_LEVELS}), m AS (SELECT conv_id, max(turn) AS last FROM l GROUP BY 1) SELECT a.conv_id, a.turn, a.level, greatest(a.turn, coalesce((SELECT min(b.turn) - 1 FROM l b WHERE b.conv_id = a.conv_id AND b.turn > a.turn AND b.level <= a.level), m.last)) AS range_end FROM l a JOIN m USING (conv_id)""")
 def j11_range_ends(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role").withColumn("level", ROLE_LEVEL).drop("role").withColumn("start", F.col("turn"))
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role").withColumn("level", role_level()).drop("role").withColumn("start", F.col("turn"))
     last = F.max("turn").over(W.partitionBy("conv_id"))
     return R.range_by_level(c, ["conv_id"], "turn", "level", 3, "start", last).drop("start")
 
@@ -169,7 +171,7 @@ def j20_queue_by_chapter(spark, sf_dir):
 
 @query(f"""WITH l AS ({_LEVELS}) SELECT 'level' || level || 'Count' AS name, count(*) AS n FROM l GROUP BY 1""")
 def a01_level_histogram(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations", "role").withColumn("level", ROLE_LEVEL)
+    c = table(spark, sf_dir, "conversations", "role").withColumn("level", role_level())
     return c.groupBy(F.concat(F.lit("level"), "level", F.lit("Count")).alias("name")).agg(F.count("*").alias("n"))
 
 
