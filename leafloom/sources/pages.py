@@ -1,69 +1,36 @@
-"""A page source: paged files become one row per page, in Spark's Python data source API.
+"""A page source: paged files, in any store that Spark reads, become one row per page.
 
-The reader hands out one task per file. What turns a file into pages is a plug-in: the default splits text at form
-feeds; a PDF extractor that yields (label, text) pairs per page takes its place where one is installed.
+What turns a file into pages is a plug-in: the default splits text at form feeds; a PDF extractor that yields the text
+of each page takes its place where one is installed.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-SCHEMA = "doc_id string, page_number int, text string"
-_EXTRACTORS: dict[str, Callable[[bytes], Iterator[str]]] = {}
+Extractor = Callable[[bytes], Iterator[str]]
 
 
-def extractor(suffix: str):
-    """Registers a function from a file's bytes to its pages' texts for files with this suffix."""
-
-    def add(f):
-        _EXTRACTORS[suffix] = f
-        return f
-
-    return add
-
-
-@extractor(".txt")
 def form_feeds(data: bytes) -> Iterator[str]:
     """Pages of plain text."""
     yield from data.decode("utf-8", "replace").replace("\0", " ").split("\f")
 
 
-class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
-
-    def partitions(self):
-        if not os.path.exists(self.path):
-            raise FileNotFoundError(self.path)
-        names = sorted(os.listdir(self.path)) if os.path.isdir(self.path) else [""]
-        return [_File(os.path.join(self.path, n) if n else self.path) for n in names if os.path.splitext(n or self.path)[1] in _EXTRACTORS] or [_File("")]
-
-    def read(self, partition):
-        if not partition.path:
-            return
-        with open(partition.path, "rb") as f:
-            pages = _EXTRACTORS[os.path.splitext(partition.path)[1]](f.read())
-        for number, text in enumerate(pages, 1):
-            yield os.path.basename(partition.path), number, text.strip()
-
-
-class PagedFiles(DataSource):
-    """``spark.read.format("paged").load(path)`` after ``spark.dataSource.register(PagedFiles)``."""
+def paged(spark: SparkSession, path: str, files: str = "*.txt", extract: Extractor = form_feeds) -> DataFrame:
+    """(doc_id, page_number, text) of the files under ``path`` that match a pattern; a task has whole files.
 
-    @classmethod
-    def name(cls):
-        return "paged"
+    A missing path fails when the source is opened. Pages are numbered from 1; their text is trimmed.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", files).option("recursiveFileLookup", "true").load(path)
+    named = found.select(F.element_at(F.split("path", "/"), -1).alias("doc_id"), "content")
 
-    def schema(self):
-        return SCHEMA
+    def run(frames):
+        for f in frames:
+            rows = [(d, n, t.strip()) for d, c in zip(f["doc_id"], f["content"], strict=True) for n, t in enumerate(extract(bytes(c)), 1)]
+            yield pd.DataFrame(rows, columns=["doc_id", "page_number", "text"]).astype({"page_number": "int32"})
 
-    def reader(self, schema):
-        return _Reader(self.options["path"])
+    return named.mapInPandas(run, "doc_id string, page_number int, text string")

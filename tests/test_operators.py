@@ -191,12 +191,11 @@ def test_lines_of_odd_texts(spark):
 
 
 def test_paged_files_and_rounding(spark, tmp_path):
-    from leafloom.sources.pages import PagedFiles
+    from leafloom.sources.pages import paged
 
     (tmp_path / "a.txt").write_text("one\ftwo\0 \f")
     (tmp_path / "skip.bin").write_bytes(b"x")
-    spark.dataSource.register(PagedFiles)
-    rows = sorted(map(tuple, spark.read.format("paged").load(str(tmp_path)).collect()))
+    rows = sorted(map(tuple, paged(spark, str(tmp_path)).collect()))
     assert rows == [("a.txt", 1, "one"), ("a.txt", 2, "two"), ("a.txt", 3, "")]
     got = spark.createDataFrame([(0.25,), (0.15,), (9.95,), (2.25,), (14352.85,), (-0.25,), (7.0,)], "x double").select(text.python_round(F.col("x")).alias("r")).collect()
     assert [r.r for r in got] == [round(v, 1) for v in (0.25, 0.15, 9.95, 2.25, 14352.85, -0.25, 7.0)]
