@@ -223,7 +223,7 @@ SELECT_AT = 0.5
 
 
 def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's expected grade and tail probabilities, learned from ``labels``, and whether it is selected."""
+    """Every document's expected grade and tail probabilities, learned from ``labels``, and whether it is kept."""
     docs = common.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = learn(docs, common.table(spark, sf_dir, "labels"))
-    return grade(docs, model).select("doc_id", "expected_grade", "p_good", "p_clean", (F.col("p_clean") >= SELECT_AT).alias("selected"))
+    return grade(docs, model).select("doc_id", "expected_grade", "p_good", "p_clean", (F.col("p_clean") >= SELECT_AT).alias("keep"))

@@ -38,7 +38,7 @@ def test_lowest_of_repeated_ratings_counts(spark):
 
 
 def test_selection_keeps_clean_and_drops_rated_down(spark, sf):
-    rows = {r.doc_id: r.selected for r in quality.op3_ordinal_quality(spark, sf).collect()}
+    rows = {r.doc_id: r.keep for r in quality.op3_ordinal_quality(spark, sf).collect()}
     labels = [r for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.doc_id in rows]
     clean = [rows[r.doc_id] for r in labels if r.quality == 1 and r.toxic == 0]
     bad = [rows[r.doc_id] for r in labels if r.quality == 0 or r.toxic == 1]
