@@ -122,6 +122,36 @@ def parse_records(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
         at = end + 4 + size + 4
 
 
+def serialize_response(row) -> bytes:
+    """One response record, as ``responses`` gives it, as the bytes of a WARC file."""
+    block = row["http_headers"].encode() + bytes(row["payload"])
+    head = [("WARC-Type", "response"), ("WARC-Record-ID", row["record_id"]), ("WARC-Target-URI", row["target_uri"]), ("WARC-Date", row["date"]), ("WARC-Payload-Digest", row["payload_digest"]), ("WARC-Block-Digest", digest(block)), ("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode() + block + b"\r\n\r\n"
+
+
+def read_responses(spark: SparkSession, path: str, files: str = "*.warc*") -> DataFrame:
+    """The response records of WARC files, gzipped or not, in any store that Spark reads; a task has one file at a time.
+
+    The HTTP head and the payload are taken apart at the first empty line; a payload digest that the record does not
+    carry is computed. Records of other types are passed over.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", files).option("recursiveFileLookup", "true").load(path).select("content")
+
+    def run(frames):
+        for f in frames:
+            for content in f["content"]:
+                out = []
+                for head, block in parse_records(bytes(content)):
+                    fields = dict(head)
+                    if fields.get("WARC-Type") != "response":
+                        continue
+                    http, gap, payload = block.partition(b"\r\n\r\n")
+                    out.append((fields.get("WARC-Record-ID"), fields.get("WARC-Target-URI", ""), fields.get("WARC-Date"), (http + gap).decode("latin-1"), fields.get("WARC-Payload-Digest") or digest(payload), payload))
+                yield pd.DataFrame(out, columns=[x.split()[0] for x in RESPONSE.split(", ")])
+
+    return found.mapInPandas(run, RESPONSE)
+
+
 def write_files(derived: DataFrame, path: str) -> None:
     """Each record as a gzip member in a binary column of Parquet files under ``path``, ready to be concatenated."""
 

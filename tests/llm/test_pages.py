@@ -82,3 +82,14 @@ def test_files_hold_all_records(spark, tmp_path):
     warc.write_files(warc.derive(warc.responses(pages)), str(tmp_path / "w"))
     data = b"".join(bytes(r.member) for r in spark.read.parquet(str(tmp_path / "w")).collect())
     assert len(list(warc.parse_records(data))) == 10
+
+
+def test_responses_come_back_from_files(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://h.org/{i}", PAGE) for i in range(3)], "page_id long, url string, html string")
+    made = warc.responses(pages).drop("key")
+    rows = [r.asDict() for r in made.collect()]
+    (tmp_path / "a.warc").write_bytes(b"".join(map(warc.serialize_response, rows[:2])))
+    (tmp_path / "b.warc.gz").write_bytes(warc.gzip.compress(warc.serialize_response(rows[2])))
+    back = warc.read_responses(spark, str(tmp_path))
+    assert sorted(map(str, (r.asDict() for r in back.collect()))) == sorted(map(str, rows))
+    assert warc.derive(back).count() == 6
