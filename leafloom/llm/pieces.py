@@ -181,7 +181,7 @@ def encode_segments(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: n
         now = hit - np.arange(len(hit))
         before = now[(now > 0)] - 1
         before = before[seg[before] == seg[before + 1]]
-        changed = np.union1d(now, before)
+        changed = np.concatenate([now, before])  # a segment merges once a round, so none is in both
         piece[changed], place[changed] = candidates(changed)
     seg, sym, a, b = (np.concatenate(x) for x in zip(*done, strict=True))
     order = np.argsort((seg.astype(np.int64) << 32) | a, kind="stable")
