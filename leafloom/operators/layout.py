@@ -263,6 +263,21 @@ def boundaries(lines: DataFrame, pages: DataFrame) -> DataFrame:
     return marked.repartition(*PAGE).sortWithinPartitions(*PAGE, "index").mapInPandas(split, schema)
 
 
+def coerced(reason: Column) -> Column:
+    """The reason if it is a known one, else a change of style."""
+    return F.when(reason.isin(*rules.BOUNDARY_REASONS), reason).otherwise("style-change")
+
+
+def override_paragraphs(df: DataFrame, keys: list[str], specs: Column, layout: Column) -> DataFrame:
+    """Manual paragraphs (structs of text, kind, reason) as rows: empty ones drop out, the rest are numbered from 0."""
+    rows = df.select(*keys, layout.alias("layout"), F.posexplode(specs).alias("at", "spec"))
+    default = F.when(F.col("at") == 0, "page-start").when(F.col("layout") == TABLE, "table-row").when(F.col("layout") == TOC, "toc-entry").when(F.col("layout") == LIST, "list-marker").otherwise("override")
+    body = text.for_search(F.col("spec.text"))
+    kind = F.coalesce("spec.kind", F.when(F.col("layout") == PROSE, "body").otherwise(F.col("layout")))
+    rows = rows.select(*keys, "at", body.alias("text"), kind.alias("kind"), coerced(F.coalesce("spec.reason", default)).alias("reason")).where("text <> ''")
+    return rows.withColumn("paragraph", F.row_number().over(W.partitionBy(*keys).orderBy("at")) - 1).drop("at")
+
+
 def overridden(split: DataFrame, overrides: DataFrame) -> DataFrame:
     """Paragraph starts with manual ones: ``overrides`` lists (doc_id, page, index) of lines that must start one.
 
@@ -289,8 +304,7 @@ def paragraphs(split: DataFrame, width: float = WIDTH) -> DataFrame:
     own = first["kind"].isin("heading", "date", "signature")
     heading = first["boxed"] | first["text"].rlike(rules.ARTICLE_LINE) | first["marker"] & first["odd_font"]
     kind = F.when(own, first["kind"]).when(F.col("layout") != PROSE, F.col("layout")).when(heading, "heading").otherwise("body")
-    reason = F.when(F.col("reason").isin(*rules.BOUNDARY_REASONS), F.col("reason")).otherwise("style-change")
-    return g.select(*PAGE, "paragraph", "layout", body.alias("text"), kind.alias("kind"), reason.alias("reason"), F.col("l.index").alias("lines"), "left", "top", "right", "bottom")
+    return g.select(*PAGE, "paragraph", "layout", body.alias("text"), kind.alias("kind"), coerced(F.col("reason")).alias("reason"), F.col("l.index").alias("lines"), "left", "top", "right", "bottom")
 
 
 def confidence(layout: Column, body_font: Column, override: Column, n: Column) -> Column:

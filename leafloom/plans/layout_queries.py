@@ -1,5 +1,6 @@
 """Queries of layout analysis over lines with made-up boxes."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafloom.operators import layout as L
@@ -85,3 +86,65 @@ def a16_table_bands(spark, sf_dir):
 def g03_body_fonts(spark, sf_dir):
     d = L.described(_lines(spark, sf_dir)).groupBy("doc_id", "page").agg(F.first("body_font").alias("body_font"), F.max(F.coalesce(F.abs(F.col("font_size") - F.col("body_font")), F.lit(0.0))).alias("off"))
     return d
+
+
+@query("""WITH p AS (SELECT p_size AS doc_id, p_partkey, p_size % 4 AS k, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) - 1 AS line FROM part),
+s AS (SELECT *, CASE WHEN line = 0 THEN 'page-start' WHEN k = 0 AND p_partkey % 3 <> 0 THEN 'toc-entry' WHEN k = 1 AND p_partkey % 3 = 0 THEN 'list-marker' WHEN k = 2 THEN 'style-change' WHEN k = 3 AND line % 3 = 0 THEN 'table-row' ELSE '' END AS reason FROM p)
+SELECT doc_id, line, reason, CAST(sum(CASE WHEN reason <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line ROWS UNBOUNDED PRECEDING) - 1 AS BIGINT) AS paragraph FROM s""")
+def l04_l05_l06_l07_l08_groupings(spark, sf_dir):
+    """Lines of contents, lists, title pages and tables, each split by its layout's own rule."""
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size")
+    line = F.row_number().over(W.partitionBy("p_size").orderBy("p_partkey")) - 1
+    k, third, plain = F.col("p_size") % 4, F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit(" zz"))
+    t = F.when((k == 0) & ~third, F.concat("p_name", F.lit(" ........ 12"))).when((k == 1) & third, F.concat(F.lit("1. "), plain)).otherwise(plain)
+    p = p.select(F.col("p_size").alias("doc_id"), F.lit(1).alias("page"), line.alias("line"), t.alias("text"), k.alias("k"))
+    row = F.when(F.col("k") == 3, F.floor(F.col("line") / 3)).otherwise(F.col("line"))
+    p = p.withColumns({"top": 150.0 + 16.0 * row, "bottom": 161.0 + 16.0 * row, "left": F.when(F.col("k") == 3, 70.0 + 100.0 * (F.col("line") % 3)).otherwise(70.0), "font_size": F.lit(10.0)}).withColumn("right", F.col("left") + 80.0)
+    kind = F.element_at(F.array(*map(F.lit, (L.TOC, L.LIST, L.DECORATIVE, L.TABLE))), (F.col("doc_id") % 4 + 1).cast("int"))
+    pages = p.select("doc_id", "page").distinct().withColumns({"layout": kind, "anchor": F.lit(70.0), "line_gap": F.lit(5.0)})
+    split = L.boundaries(O.written(L.described(p.drop("k"))), pages)
+    return split.select("doc_id", F.col("line").cast("long").alias("line"), "reason", F.col("paragraph").cast("long").alias("paragraph"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 4 WHEN doc_id % 3 = 1 THEN 6 ELSE 7 END AS kept FROM documents""")
+def w05_margin_fragments(spark, sf_dir):
+    """Stacked fragments at the right margin: a whole running title goes, an incomplete or scattered one stays."""
+    d = table(spark, sf_dir, "documents", "doc_id")
+    k = F.col("doc_id") % 3
+    body = F.array(*(F.struct(F.lit(i).alias("line"), F.lit("본문 줄").alias("text"), F.lit(70.0).alias("left"), F.lit(300.0).alias("right"), F.lit(200.0 + 16 * i).alias("top"), F.lit(10.0).alias("font_size")) for i in range(4)))
+    margin = lambda *words, step=12.0: F.array(*(F.struct(F.lit(10 + i).alias("line"), F.lit(w).alias("text"), F.lit(550.0).alias("left"), F.lit(566.0).alias("right"), F.lit(300.0 + step * i).alias("top"), F.lit(8.0).alias("font_size")) for i, w in enumerate(words)))
+    lines = F.concat(body, F.when(k == 0, margin("제", "1", "편")).when(k == 1, margin("제", "1")).otherwise(margin("제", "1", "편", step=60.0)))
+    lines = d.select("doc_id", F.lit(1).alias("page"), F.inline(lines))
+    return L.margin_pruned(lines).groupBy("doc_id").agg(F.count("*").cast("int").alias("kept"))
+
+
+_REASONS = "('page-start', 'gap', 'indent', 'style-change', 'list-marker', 'toc-entry', 'table-row', 'override', 'page-merge')"
+
+
+@query(f"""WITH r AS (SELECT conv_id, turn, CASE role WHEN 'system' THEN 'page-start' WHEN 'user' THEN 'gap' ELSE role END AS given, length(text) AS n FROM conversations)
+SELECT conv_id, turn, CASE WHEN given IN {_REASONS} THEN given ELSE 'style-change' END AS reason, CASE WHEN turn % 5 = 0 OR n = 0 THEN 'low' WHEN n % 3 = 0 OR given = 'gap' THEN 'medium' ELSE 'high' END AS confidence FROM r""")
+def l09_l14_reasons_confidence(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    given = F.when(F.col("role") == "system", "page-start").when(F.col("role") == "user", "gap").otherwise(F.col("role"))
+    n = F.length("text")
+    conf = L.confidence(F.when(given == "gap", L.LIST).otherwise(L.PROSE), F.when(n % 3 != 0, F.lit(10.0)), F.col("turn") % 5 == 0, n)
+    return c.select("conv_id", "turn", L.coerced(given).alias("reason"), conf.alias("confidence"))
+
+
+@query("""WITH b AS (SELECT item_id, unnest(['  ' || text || ' ', '', 'second']) AS text, unnest([0, 1, 2]) AS i FROM benchmark)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY i) - 1 AS paragraph, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text, CASE WHEN i = 0 THEN 'page-start' ELSE 'override' END AS reason FROM b WHERE trim(text) <> ''""")
+def l11_override_paragraphs(spark, sf_dir):
+    spec = lambda c: F.struct(c.alias("text"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("reason"))
+    b = table(spark, sf_dir, "benchmark", "item_id", "text").withColumn("specs", F.array(*map(spec, (F.concat(F.lit("  "), "text", F.lit(" ")), F.lit(""), F.lit("second")))))
+    p = L.override_paragraphs(b, ["item_id"], F.col("specs"), F.lit(L.PROSE))
+    return p.select("item_id", F.col("paragraph").cast("long").alias("paragraph"), "text", "reason")
+
+
+@query()
+def l03_oversize_split(spark, sf_dir):
+    """Paragraphs of full prose pages: none of several lines is over 900 characters where a sentence ends inside."""
+    lines = _lines(spark, sf_dir).withColumn("text", F.concat(F.rtrim("text"), F.lit("."))).withColumn("right", F.lit(525.0))
+    told = O.written(L.described(lines))
+    pages = told.select("doc_id", "page").distinct().withColumns({"layout": F.lit(L.PROSE), "anchor": F.lit(70.0), "line_gap": F.lit(5.0)})
+    split = L.boundaries(told, pages)
+    return split.groupBy("doc_id", "page", "paragraph").agg(F.sum(F.length("text") + 1).alias("n_chars"), F.count("*").alias("n_lines"))

@@ -206,3 +206,10 @@ def test_rounding_equals_python(spark, sf):
 
     rows = registry.QUERIES["g04_python_rounding"](spark, sf).collect()
     assert rows and all(r.rounded == round(r.l_extendedprice / 7, 1) for r in rows)
+
+
+def test_oversize_paragraphs_are_split_where_they_can_be(spark, sf):
+    from leafloom.plans import registry
+
+    rows = registry.QUERIES["l03_oversize_split"](spark, sf).collect()
+    assert rows and all(r.n_chars <= 901 or r.n_lines == 1 for r in rows)
