@@ -6,9 +6,10 @@ Texts are held as one byte buffer per batch with document offsets. Words are run
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fitted(sample: DataFrame, fit: Callable[[list[tuple]], object]):
+    """What ``fit`` makes of a bounded sample's sorted rows, computed by one task: the driver holds the model alone."""
+
+    def run(batches):
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
+
+    made = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0].model) if made else fit([])
+
+
 def crc_fold(column, parts: int):
     """crc32 of the value as text, mod ``parts``; null stays null."""
     return F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(parts))

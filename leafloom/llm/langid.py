@@ -188,7 +188,7 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
     hashes, one, word, seen = np.unique(common.word_hashes(data, starts, ends), return_index=True, return_inverse=True, return_counts=True)
     lexicon = hashes[seen >= LEXICON_LEAST]
     ids, begins = features(data, starts[one], ends[one], hashes, lexicon)
-    owner = np.repeat(np.arange(len(hashes)), np.diff(begins))
+    owner = np.repeat(np.arange(len(hashes), dtype=np.int32), np.diff(begins))
     label_of = np.array([labels.index(x) for x in langs])
     by_label = [np.flatnonzero((label_of == c) & (np.diff(firsts) > 0)) for c in range(k)]
     usable = [c for c in range(k) if len(by_label[c])]
@@ -204,7 +204,11 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
             x[s, at : at + len(got)], y[s, at : at + len(got)] = got, c
             at += len(got)
     weights, start, moves = np.zeros((BUCKETS, k)), np.zeros(k), np.zeros((k, k))
-    used, compact = np.unique(ids, return_inverse=True)
+    used = np.flatnonzero(np.bincount(ids, minlength=BUCKETS))
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    compact = place[ids]
+    del ids
     w = np.zeros((len(used), k))
     params = [w, start, moves]
     squares = [np.full(p.shape, 1e-6) for p in params]
@@ -212,11 +216,12 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
     true_pairs = np.zeros((k, k))
     np.add.at(true_pairs, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
     for _ in range(EPOCHS):
-        emission = np.add.reduceat(w[compact], begins[:-1], axis=0)
+        # a label at a time, so that no array holds all features of all labels
+        emission = np.stack([np.add.reduceat(w[:, c].astype(np.float32)[compact], begins[:-1]) for c in range(k)], 1).astype(np.float64)
         gamma, pair = _pairwise(emission[x], start, moves)
         rest = truth - gamma
         per_word = np.stack([np.bincount(x.ravel(), rest[..., c].ravel(), len(hashes)) for c in range(k)], 1)
-        grads = [np.stack([np.bincount(compact, per_word[owner, c], len(used)) for c in range(k)], 1) - 1.0 * w, rest[:, 0].sum(0) - start, true_pairs - pair - moves]
+        grads = [np.stack([np.bincount(compact, per_word[:, c].astype(np.float32)[owner], len(used)) for c in range(k)], 1) - 1.0 * w, rest[:, 0].sum(0) - start, true_pairs - pair - moves]
         for p, g, q in zip(params, grads, squares, strict=True):
             q += g * g
             p += 0.3 * g / np.sqrt(q)
@@ -224,7 +229,7 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
     return Crf(labels, weights.astype(np.float32), start, moves, lexicon)
 
 
-def training_rows(docs: DataFrame, per_lang: int = FIT_DOCS, chars: int = FIT_CHARS) -> list[tuple[str, str]]:
+def training_rows(docs: DataFrame, per_lang: int = FIT_DOCS, chars: int = FIT_CHARS) -> DataFrame:
     """(lang, text): up to ``per_lang`` labelled texts of each language by hash, up to ``chars`` characters of each.
 
     The hashes are chosen without the texts, and each task passes on its smallest only; then the chosen are looked up.
@@ -234,8 +239,7 @@ def training_rows(docs: DataFrame, per_lang: int = FIT_DOCS, chars: int = FIT_CH
     chosen = rows.select("lang", "_h").withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= per_lang).select("lang", "_h").distinct()
     # per_lang rows of 16 bytes for each language
     found = rows.join(F.broadcast(chosen), ["lang", "_h"]).select("lang", "_h", F.substring("text", 1, chars).alias("text"))
-    found = found.groupBy("lang", "_h").agg(F.min("text").alias("text"))
-    return [(r.lang, r.text) for r in found.orderBy("lang", "_h").collect()]
+    return found.groupBy("lang", "_h").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def identify(docs: DataFrame, train: DataFrame, with_spans: bool = False) -> DataFrame:
@@ -248,8 +252,9 @@ def identify(docs: DataFrame, train: DataFrame, with_spans: bool = False) -> Dat
     table stays empty.
     """
     spark = docs.sparkSession
-    rows = training_rows(train)  # FIT_DOCS rows of FIT_CHARS characters for each language
-    shared = spark.sparkContext.broadcast(fit([t for _, t in rows], [c for c, _ in rows]))
+    # FIT_DOCS rows of FIT_CHARS characters for each language
+    model = common.fitted(training_rows(train), lambda rows: fit([t for _, t in rows], [c for c, _ in rows]))
+    shared = spark.sparkContext.broadcast(model)
     span = "array<struct<first_word:long,words:long,lang:string>>"
     new = {"lang_pred": "string", "score": "double"} | ({"spans": span} if with_spans else {})
     kept = [c for c in docs.columns if c not in new]

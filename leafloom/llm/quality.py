@@ -191,9 +191,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, chars: int =
     """A model of the ratings, fitted on the ``rows`` rated documents with the smallest hashes."""
     # the sample is chosen among the ratings alone, so only its texts are moved
     some = labels.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(rows)
-    got = rated(docs, F.broadcast(some)).select(F.substring("text", 1, chars).alias("text"), "grade").collect()  # some: ``rows`` rows
-    got.sort(key=lambda r: (r.grade, r.text))
-    return fit([r.text for r in got], [r.grade for r in got], 3)
+    chosen = rated(docs, F.broadcast(some)).select("grade", F.substring("text", 1, chars).alias("text"))  # some: ``rows`` rows
+    return common.fitted(chosen, lambda got: fit([t for _, t in got], [g for g, _ in got], 3))
 
 
 def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
