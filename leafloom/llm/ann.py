@@ -20,8 +20,8 @@ from leafloom.llm import common, topk, vectors
 
 #: Rows that centroids and codebooks are fitted on, at most.
 FIT_ROWS = 20_000
-#: Rows of a list in one block and queries that are served together.
-BLOCK_ROWS, BLOCK_QUERIES = 4096, 512
+#: Rows of a list in one block, queries that are served together, and queries whose tables are held at once.
+BLOCK_ROWS, BLOCK_QUERIES, TABLE_QUERIES = 4096, 8192, 256
 
 
 @dataclass
@@ -134,10 +134,11 @@ def search(rows: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vect
         center = np.full(len(x), int(key[0]))
         codes = q.encode(x, center).astype(np.int64)
         wanted = np.stack(asking["vector"].to_numpy())
-        tables = q.tables(wanted)
         offsets = wanted @ q.centroids[int(key[0])]
         for i, own in enumerate(asking["id"].to_numpy(np.int64)):
-            guess = offsets[i] + sum(tables[i, m][codes[:, m]] for m in range(codes.shape[1]))
+            if i % TABLE_QUERIES == 0:
+                tables = q.tables(wanted[i : i + TABLE_QUERIES])
+            guess = offsets[i] + sum(tables[i % TABLE_QUERIES, m][codes[:, m]] for m in range(codes.shape[1]))
             guess[ids == own] = -np.inf
             n = min(rerank, len(ids))
             near = np.argpartition(-guess, n - 1)[:n]

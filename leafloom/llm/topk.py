@@ -68,8 +68,11 @@ def search(rows: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vect
     asked = vectors.usable(queries, id_col, vector_col, nonzero=False)
     shards = vectors.pack(_spread(base, shard_rows, "shard"), "shard")
     blocks = vectors.pack(_spread(asked, block_queries, "block"), "block").withColumnsRenamed({"ids": "q_ids", "vectors": "q_vectors"})
-    # a few block rows meet each shard row: both sides are packed, so this is one row per (shard, query block)
-    pairs = shards.join(blocks, "width").repartition(F.col("shard"), F.col("block"))
+    # shards are dealt to lanes and stay there; each lane gets the query blocks once, so rows are never moved per query
+    lanes = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shards = shards.withColumn("lane", F.pmod(F.xxhash64("shard"), F.lit(lanes)).cast("int"))
+    blocks = blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    pairs = shards.join(blocks, ["lane", "width"])
 
     def run(frames):
         for frame in frames:
