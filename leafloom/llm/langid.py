@@ -230,13 +230,14 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
 
 
 def training_rows(docs: DataFrame, per_lang: int = FIT_DOCS, chars: int = FIT_CHARS) -> DataFrame:
-    """(lang, text): up to ``per_lang`` labelled texts of each language by hash, up to ``chars`` characters of each.
+    """(lang, text): up to ``per_lang`` different labelled texts of each language by hash, up to ``chars`` characters of each.
 
     The hashes are chosen without the texts, and each task passes on its smallest only; then the chosen are looked up.
     """
     rows = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("_h"), "text")
     by = W.partitionBy("lang").orderBy("_h")
-    chosen = rows.select("lang", "_h").withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= per_lang).select("lang", "_h").distinct()
+    # copies share a hash and take one place
+    chosen = rows.select("lang", "_h").distinct().withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= per_lang).select("lang", "_h")
     # per_lang rows of 16 bytes for each language
     found = rows.join(F.broadcast(chosen), ["lang", "_h"]).select("lang", "_h", F.substring("text", 1, chars).alias("text"))
     return found.groupBy("lang", "_h").agg(F.min("text").alias("text")).select("lang", "text")

@@ -50,3 +50,9 @@ def test_held_out_accuracy(spark, sf, least):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = [r for r in langid.op2_crf_language(spark, sf).collect() if r.held_out]
     assert rows and sum(r.lang_pred == truth[r.doc_id] for r in rows) >= least * len(rows)
+
+
+def test_copies_take_one_place_of_the_sample(spark):
+    rows = [(f"text {i}", "en") for i in range(10) for _ in range(20)]
+    got = langid.training_rows(spark.createDataFrame(rows, "text string, lang string"), per_lang=8).collect()
+    assert len({r.text for r in got}) == len(got) == 8
