@@ -2,12 +2,12 @@
 
 Encoding starts from characters and works off an agenda of candidate merges, best piece first, leftmost first among
 equals. A candidate is the pair of neighbouring symbols over a span; it is skipped for good if a hash keyed by seed,
-variant, segment and span falls under the dropout rate. Skipping gives other segmentations of the same text from the
+document, the segment's place in it, segment and span falls under the dropout rate. Skipping gives other segmentations of the same text from the
 same merges, and decoding gives the text back byte for byte: bytes outside the vocabulary fall back to byte pieces, and
 so does a literal U+2581, which would else read as a space.
 
 No piece of the vocabulary joins a word to the space after it, so a run of spaces with the word behind it is a segment
-that is merged by itself. A batch's distinct segments advance together in numpy, one merge each per round; segments of
+that is merged by itself. A batch's segments advance together in numpy, one merge each per round; segments of
 many symbols use a heap.
 """
 
@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from leafloom.llm import common
 
-#: The vocabulary, dropout rate, seed, and how many segmentations of a segment documents are dealt to.
-MODEL, RATE, SEED, VARIANTS = "/opt/tokenizers/piece_bpe_32k.model", 0.1, 23, 8
+#: The vocabulary, dropout rate and seed.
+MODEL, RATE, SEED = "/opt/tokenizers/piece_bpe_32k.model", 0.1, 23
+#: Text bytes at once; every byte takes some hundred bytes of work arrays.
+CHUNK_BYTES = 1 << 20
 #: Symbols of a segment from which on a heap is used.
 HEAP_FROM = 64
 _MARK = "▁"
@@ -237,8 +239,11 @@ def _prefixed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, at
 
 
-def encode(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, variants: np.ndarray, rate: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all rows and where each row's begin (one more at the end)."""
+def encode(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, variants: np.ndarray, rate: float, seed: int, by_place: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all rows and where each row's begin (one more at the end).
+
+    Skips are keyed by a row's variant and, if ``by_place``, by the segment's number in its row.
+    """
     if v.prefix:
         data, offsets = _prefixed(data, offsets)
     space = data == 0x20
@@ -252,6 +257,10 @@ def encode(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, variants: np.nd
     ends = np.append(starts[1:], len(data))
     firsts = np.searchsorted(starts, offsets, "left")
     names = common.word_hashes(data, starts, ends) ^ common.stable_hash(np.repeat(variants.astype(np.uint64), np.diff(firsts)), seed)
+    if by_place and rate > 0:
+        place = np.arange(len(starts)) - np.repeat(firsts[:-1], np.diff(firsts))
+        tokens, begins = encode_segments(v, data, starts, ends, common.mix64(names + common.stable_hash(place, seed + 1)), rate)
+        return tokens, begins[firsts]
     keys, one, inverse = np.unique(names, return_index=True, return_inverse=True)
     tokens, begins = encode_segments(v, data, starts[one], ends[one], keys, rate)
     sizes = np.diff(begins)[inverse]
@@ -277,11 +286,11 @@ def decode(v: Vocabulary, tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     return out, rows
 
 
-def encoded(docs: DataFrame, model: str = MODEL, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS, key_col: str = "doc_id") -> DataFrame:
+def encoded(docs: DataFrame, model: str = MODEL, rate: float = RATE, seed: int = SEED, variants: int | None = None, key_col: str = "doc_id") -> DataFrame:
     """``docs`` with tokens array<int>, n_tokens long and round_trip boolean: whether the tokens decode to the text.
 
-    A document's variant of the dropout follows from its key, so copies under other keys are segmented another way, and
-    reruns agree. A null text has null tokens and round_trip, and 0 tokens; an empty one has none. Columns of these
+    The dropout is drawn anew for each document key and each place in a text, so copies under other keys and repeats of
+    a word are segmented other ways, and reruns agree; with ``variants``, documents are dealt to so many draws. A null text has null tokens and round_trip, and 0 tokens; an empty one has none. Columns of these
     names are replaced; whole texts are read; an empty table stays empty. ``model`` is a path that executors can read.
     """
     new = ["tokens", "n_tokens", "round_trip"]
@@ -291,8 +300,8 @@ def encoded(docs: DataFrame, model: str = MODEL, rate: float = RATE, seed: int =
         v = load(model)
         for batch in batches:
             choice = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, end, data, offsets in common.byte_chunks(batch.column(0)):
-                tokens, begins = encode(v, data, offsets, choice[first:end], rate, seed)
+            for first, end, data, offsets in common.byte_chunks(batch.column(0), CHUNK_BYTES):
+                tokens, begins = encode(v, data, offsets, choice[first:end], rate, seed, variants is None)
                 back, back_at = decode(v, tokens, begins)
                 same = np.diff(back_at) == np.diff(offsets)
                 if len(back) == len(data) and same.all():
@@ -305,7 +314,8 @@ def encoded(docs: DataFrame, model: str = MODEL, rate: float = RATE, seed: int =
                 yield pa.RecordBatch.from_arrays([c.slice(first, end - first) for c in batch.columns[2:]] + [lists, pa.array(np.diff(begins)), pa.array(same, mask=null)], names=[*kept, *new])
 
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept] + ["tokens array<int>", "n_tokens long", "round_trip boolean"])
-    variant = F.pmod(F.xxhash64(F.lit(seed), key_col), F.lit(variants)).cast("long").alias("_variant")
+    drawn = F.xxhash64(F.lit(seed), key_col)
+    variant = (drawn if variants is None else F.pmod(drawn, F.lit(variants)).cast("long")).alias("_variant")
     return docs.select(F.col("text").cast("string").alias("_read"), variant, *kept).mapInArrow(run, schema)
 
 

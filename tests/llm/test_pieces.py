@@ -73,3 +73,11 @@ def test_frames_vary_by_document_and_handle_odd_rows(spark):
     assert [r.text for r in pieces.decoded(out.drop("text")).collect()] == [r[1] for r in rows]
     assert [r.tokens for r in pieces.encoded(docs).collect()] == [r.tokens for r in got]
     assert pieces.encoded(docs.limit(0)).collect() == []
+
+
+def test_every_document_and_every_place_has_its_own_draws(spark):
+    rows = [(i, " unhappiness international" * 20) for i in range(60)]
+    got = pieces.encoded(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.round_trip for r in got)
+    assert len({tuple(r.tokens) for r in got}) == 60
+    assert all(len(r.tokens) % 20 or r.tokens != r.tokens[: len(r.tokens) // 20] * 20 for r in got)
