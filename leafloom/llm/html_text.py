@@ -53,6 +53,10 @@ _FURNITURE_WORDS = {
 }
 
 
+#: A word of a class, id or role behind one of these does not name the element itself.
+_ABOUT = {"has", "no", "with", "without"}
+
+
 class Node:
     """An element: its tag, parent, children (elements and texts in order) and density figures."""
 
@@ -80,7 +84,9 @@ def _furniture(tag: str, attrs: str, inside_article: bool) -> bool:
     a = attributes(attrs)
     if a.get("aria-hidden", "").lower() == "true" or "hidden" in attrs.lower().split() or re.search(r"display\s*:\s*none", a.get("style", "")):
         return True
-    words = set(_WORD.findall(" ".join(a.get(k, "") for k in ("class", "id", "role")).lower()))
+    names = [_WORD.findall(x) for k in ("class", "id", "role") for x in a.get(k, "").lower().split()]
+    # has-sidebar, no-sidebar and with-comments tell of the layout around a text
+    words = {w for x in names for i, w in enumerate(x) if not _ABOUT & set(x[:i])}
     return bool(words & _FURNITURE_WORDS) or "header" in words and not inside_article
 
 

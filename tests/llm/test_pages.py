@@ -93,3 +93,10 @@ def test_responses_come_back_from_files(spark, tmp_path):
     back = warc.read_responses(spark, str(tmp_path))
     assert sorted(map(str, (r.asDict() for r in back.collect()))) == sorted(map(str, rows))
     assert warc.derive(back).count() == 6
+
+
+def test_wrappers_that_tell_of_furniture_are_no_furniture():
+    text = "A long sentence of the article that a reader wants to see. " * 5
+    for name in ("content has-sidebar", "no-sidebar", "post with-comments", "without-ads"):
+        got = html_text.extract(f'<body><div class="{name}"><p>{text}</p></div><div class="sidebar">Side words</div></body>')
+        assert got == text.strip(), name
