@@ -2,13 +2,14 @@
 
 Encoding starts from characters and works off an agenda of candidate merges, best piece first, leftmost first among
 equals. A candidate is the pair of neighbouring symbols over a span; it is skipped for good if a hash keyed by seed,
-document, the segment's place in it, segment and span falls under the dropout rate. Skipping gives other segmentations of the same text from the
-same merges, and decoding gives the text back byte for byte: bytes outside the vocabulary fall back to byte pieces, and
-so does a literal U+2581, which would else read as a space.
+document, the segment's place in it, segment and span falls under the dropout rate. Skipping gives other segmentations
+of the same text from the same merges, and decoding gives the text back byte for byte: bytes outside the vocabulary fall
+back to byte pieces, and so does a literal U+2581, which would else read as a space.
 
 No piece of the vocabulary joins a word to the space after it, so a run of spaces with the word behind it is a segment
-that is merged by itself. A batch's segments advance together in numpy, one merge each per round; segments of
-many symbols use a heap.
+that is merged by itself. Characters and first pairs are found once for each distinct segment of a batch; every
+occurrence then has its own draws. Occurrences advance together in numpy, a column each and one merge each per round;
+segments of many symbols use a heap.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from leafloom.llm import common
 MODEL, RATE, SEED = "/opt/tokenizers/piece_bpe_32k.model", 0.1, 23
 #: Text bytes at once; every byte takes some hundred bytes of work arrays.
 CHUNK_BYTES = 1 << 20
-#: Symbols of a segment from which on a heap is used.
-HEAP_FROM = 64
+#: Symbols of a segment from which on a heap is used, and symbols that are merged in one grid.
+HEAP_FROM, GRID = 64, 1 << 18
 _MARK = "▁"
 _NONE = np.int64(1) << 62
 
@@ -47,6 +48,19 @@ class Vocabulary:
     pair_ids: np.ndarray
     prefix: bool
 
+    def __post_init__(self):
+        self.by_rank = np.argsort(self.rank).astype(np.int32)
+        # pairs in slots by their hash; those that share a slot with another are looked up in a short sorted list
+        self.bits = max(4, 3 + len(self.pair_keys).bit_length())
+        slot = self._slot(self.pair_keys)
+        self.slot_keys, self.slot_ids = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int64)
+        self.slot_keys[slot], self.slot_ids[slot] = self.pair_keys, self.pair_ids
+        rest = self.slot_keys[slot] != self.pair_keys
+        self.rest_keys, self.rest_ids = np.append(self.pair_keys[rest], _NONE), np.append(self.pair_ids[rest], -1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
     @property
     def other(self) -> int:
         """The symbol of a character that is no piece."""
@@ -55,9 +69,13 @@ class Vocabulary:
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that two symbols merge to, -1 if none."""
         key = left.astype(np.int64) * (self.other + 1) + right
-        i = np.searchsorted(self.pair_keys, key)
-        i[i == len(self.pair_keys)] = 0
-        return np.where(self.pair_keys[i] == key, self.pair_ids[i], -1)
+        slot = self._slot(key)
+        there = self.slot_keys.take(slot)
+        out = np.where(there == key, self.slot_ids.take(slot), -1)
+        clash = np.flatnonzero((there >= 0) & (there != key))
+        i = np.searchsorted(self.rest_keys, key[clash])
+        out[clash] = np.where(self.rest_keys[i] == key[clash], self.rest_ids[i], -1)
+        return out
 
 
 def _code(char: bytes) -> int:
@@ -111,8 +129,21 @@ def _limit(rate: float) -> np.uint64:
     return np.uint64(min(max(rate, 0.0), 1.0) * (2**64 - 2**11))
 
 
-def _symbols(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    """Segment, symbol, and byte span (from the segment's start) of each character."""
+@dataclass
+class Forms:
+    """Distinct segments: where each one's symbols begin (one more at the end), its bytes, and per symbol the character's
+    piece, its first byte in the segment, and what it merges to with the next symbol of the segment (-1: nothing)."""
+
+    first: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    symbol: np.ndarray
+    at: np.ndarray
+    pair: np.ndarray
+
+
+def _forms(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Forms:
+    """The characters of segments and the pairs that they begin with."""
     lengths = ends - starts
     within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     segment = np.repeat(np.arange(len(starts)), lengths)
@@ -127,77 +158,128 @@ def _symbols(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarr
     i[i == len(v.char_codes)] = 0
     symbol = np.where(v.char_codes[i] == code, v.char_ids[i], v.other)
     symbol[code == _code(_MARK.encode())] = v.other
-    return segment[first], symbol, within[first], within[first] + size
+    own = segment[first]
+    pair = np.full(len(symbol), -1, np.int64)
+    inner = np.flatnonzero(own[:-1] == own[1:])
+    pair[inner] = v.merged(symbol[inner], symbol[inner + 1])
+    return Forms(np.searchsorted(own, np.arange(len(starts) + 1)), starts, lengths, symbol, within[first], pair)
 
 
-def encode_segments(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of segments, one after the other, and where each segment's begin (one more at the end)."""
+def encode_segments(v: Vocabulary, data: np.ndarray, forms: Forms, form: np.ndarray, keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of the segments that are of these forms, with their keys, and where each one's begin (one more at the end)."""
     limit = _limit(rate)
-    n = len(starts)
-    if not n:
-        return np.zeros(0, np.int32), np.zeros(1, np.int64)
-    seg, sym, a, b = _symbols(v, data, starts, ends)
+    many = np.diff(forms.first)[form]
     done: list[tuple] = []
-    many = np.bincount(seg, minlength=n)
+    low = -1
+    for width in (4, 8, 12, 16, 24, 32, HEAP_FROM):
+        own = np.flatnonzero((many > low) & (many <= min(width, HEAP_FROM)))
+        step = max(1, GRID // (width + 2))
+        for x in range(0, len(own), step):
+            done += _by_rounds(v, data, forms, own[x : x + step], form, keys, limit, min(width, HEAP_FROM))
+        low = min(width, HEAP_FROM)
     for s in np.flatnonzero(many > HEAP_FROM).tolist():
-        at = slice(int(np.searchsorted(seg, s)), int(np.searchsorted(seg, s, "right")))
-        got = _by_heap(v, sym[at], a[at], b[at], keys[s], limit)
-        done.append((np.full(len(got[0]), s), *got))
-    short = many[seg] <= HEAP_FROM
-    seg, sym, a, b = seg[short], sym[short], a[short], b[short]
-
-    def candidates(i):
-        """The merged piece of symbol i and the next, and its place on the agenda."""
-        piece, at = np.full(len(i), -1, np.int64), np.full(len(i), _NONE)
-        pair = np.flatnonzero(i + 1 < len(seg))
-        pair = pair[seg[i[pair]] == seg[i[pair] + 1]]
-        j = i[pair]
-        got = v.merged(sym[j], sym[j + 1])
-        ok = np.flatnonzero(got >= 0)
-        if rate > 0 and len(ok):
-            k = j[ok]
-            ok = ok[~dropped(keys[seg[k]], a[k], b[k], b[k + 1], limit)]
-        piece[pair[ok]] = got[ok]
-        at[pair[ok]] = (v.rank[got[ok]] << np.int64(32)) | a[j[ok]]
-        return piece, at
-
-    piece, place = candidates(np.arange(len(seg)))
-    while len(seg):
-        firsts = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
-        sizes = np.diff(np.append(firsts, len(seg)))
-        best = np.minimum.reduceat(place, firsts)
-        over = best == _NONE
-        if over.any():
-            out = np.repeat(over, sizes)
-            done.append((seg[out], sym[out], a[out], b[out]))
-            keep = ~out
-            seg, sym, a, b, piece, place = seg[keep], sym[keep], a[keep], b[keep], piece[keep], place[keep]
-            best, sizes = best[~over], sizes[~over]
-            if not len(seg):
-                break
-        hit = np.flatnonzero(place == np.repeat(best, sizes))  # one a segment: the place holds its position
-        sym[hit], b[hit] = piece[hit], b[hit + 1]
-        keep = np.ones(len(seg), bool)
-        keep[hit + 1] = False
-        seg, sym, a, b, piece, place = seg[keep], sym[keep], a[keep], b[keep], piece[keep], place[keep]
-        now = hit - np.arange(len(hit))
-        before = now[(now > 0)] - 1
-        before = before[seg[before] == seg[before + 1]]
-        changed = np.concatenate([now, before])  # a segment merges once a round, so none is in both
-        piece[changed], place[changed] = candidates(changed)
-    seg, sym, a, b = (np.concatenate(x) for x in zip(*done, strict=True))
-    order = np.argsort((seg.astype(np.int64) << 32) | a, kind="stable")
-    seg, sym, a, b = seg[order], sym[order], a[order], b[order]
+        f = form[s]
+        own = slice(forms.first[f], forms.first[f + 1])
+        a = forms.at[own]
+        sym, a, b = _by_heap(v, forms.symbol[own], a, np.append(a[1:], forms.size[f]), keys[s], limit)
+        done.append((np.array([s]), *_with_bytes(v, data, np.array([len(sym)]), sym, forms.start[f] + a, b - a)))
+    counts = np.zeros(len(form), np.int64)
+    for own, size, _ in done:
+        counts[own] = size
+    begins = np.concatenate([[0], np.cumsum(counts)])
+    tokens = np.empty(int(begins[-1]), np.int32)
+    for own, size, got in done:
+        tokens[np.repeat(begins[own] - (np.cumsum(size) - size), size) + np.arange(len(got))] = got
+    return tokens, begins
+
+
+def _with_bytes(v: Vocabulary, data: np.ndarray, counts: np.ndarray, sym: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens a segment and the tokens, from symbols: those that are no piece fall back to their bytes."""
     other = sym == v.other
-    size = np.where(other, b - a, 1)
+    if not other.any():
+        return counts, sym
+    size = np.where(other, size, 1)
     tokens = np.repeat(sym, size)
-    if other.any():
-        at = np.repeat(np.cumsum(size) - size, size)
-        byte = np.repeat(starts[seg] + a, size) + np.arange(len(tokens)) - at
-        fallback = np.repeat(other, size)
-        tokens[fallback] = v.byte_ids[data[byte[fallback]]]
-    counts = np.bincount(seg, size, n).astype(np.int64)
-    return tokens.astype(np.int32), np.concatenate([[0], np.cumsum(counts)])
+    byte = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(len(tokens))
+    fallback = np.repeat(other, size)
+    tokens[fallback] = v.byte_ids[data[byte[fallback]]]
+    ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
+    return np.diff(ends), tokens
+
+
+def _by_rounds(v: Vocabulary, data: np.ndarray, forms: Forms, own: np.ndarray, form: np.ndarray, keys: np.ndarray, limit: np.uint64, width: int) -> list[tuple]:
+    """Segments of up to ``width`` symbols, a column each: a round merges the best candidate of every column.
+
+    A row is a symbol's place; ``following`` and ``before`` link the symbols that are left. Gives (segments, tokens a
+    segment, tokens) of the columns as they come to their end. Cells are addressed by row * columns + column.
+    """
+    f, key = form[own], keys[own]
+    count = np.diff(forms.first)[f]
+    rows = np.arange(width + 2)[:, None]
+    grid = np.minimum(forms.first[f][None, :] + rows, len(forms.symbol) - 1)
+    real = rows < count[None, :]
+    symbol = np.where(real, forms.symbol[grid], -1)[: width + 1].astype(np.int32)
+    at = np.where(real, forms.at[grid], forms.size[f][None, :]).astype(np.int32)
+    pair = np.where(rows[:width] < count[None, :] - 1, forms.pair[grid[:width]], -1)
+    following = np.broadcast_to(rows[: width + 1] + 1, (width + 1, len(own))).astype(np.int32)
+    before = following - 2
+    agenda = np.full((width, len(own)), _NONE, np.int64)
+
+    def propose(row, column, nxt, piece, m):
+        """Puts merges on the agenda that are not skipped: the symbols in these rows and columns with the next ones."""
+        if limit and len(row):
+            spans = at.ravel()
+            end = following.take(nxt * m + column)
+            stay = np.flatnonzero(~dropped(key[column], spans.take(row * m + column), spans.take(nxt * m + column), spans.take(end * m + column), limit))
+            row, column, piece = row[stay], column[stay], piece[stay]
+        agenda.ravel()[row * m + column] = (v.rank[piece] << np.int64(16)) | row
+
+    cell = np.flatnonzero(pair >= 0)
+    row, column = np.divmod(cell, max(len(own), 1))
+    propose(row, column, row + 1, pair.take(cell), len(own))
+    done = []
+    while True:
+        best = agenda.min(axis=0) if len(own) else np.zeros(0, np.int64)
+        column = np.flatnonzero(best < _NONE)
+        left = len(column)
+        if not left or 3 * left < 2 * len(own):
+            out = np.flatnonzero(best == _NONE)
+            sym = symbol[:width].take(out, axis=1).T
+            has = sym >= 0
+            n = has.sum(axis=1)
+            place = at[:width].take(out, axis=1).T[has]
+            done.append((own[out], *_with_bytes(v, data, n, sym[has], np.repeat(forms.start[f[out]], n) + place, at[1 : width + 1].take(out, axis=1).T[has] - place)))
+            if not left:
+                return done
+            own, f, key, best = own[column], f[column], key[column], best[column]
+            symbol, at, following, before, agenda = (x.take(column, axis=1) for x in (symbol, at, following, before, agenda))
+            column = np.arange(left)
+        else:
+            best = best[column]
+        m = len(own)
+        links, back, cells = following.ravel(), before.ravel(), symbol.ravel()
+        row = best & np.int64(0xFFFF)
+        here = row * m + column
+        gone = links.take(here) * m + column
+        then = links.take(gone).astype(np.int64)
+        merged = v.by_rank.take(best >> np.int64(16))
+        cells[here] = merged
+        cells[gone] = -2
+        agenda.ravel()[gone] = _NONE
+        agenda.ravel()[here] = _NONE
+        links[here] = then
+        back[then * m + column] = row
+        # the merged symbol with the next, and the one before with the merged
+        after = cells.take(then * m + column)
+        prior = back.take(here)
+        has = np.flatnonzero(prior >= 0)
+        prior, beside = prior[has].astype(np.int64), column[has]
+        agenda.ravel()[prior * m + beside] = _NONE
+        more = np.flatnonzero(after >= 0)
+        row, column, nxt = np.concatenate([row[more], prior]), np.concatenate([column[more], beside]), np.concatenate([then[more], row[has]])
+        piece = v.merged(np.concatenate([merged[more], cells.take(prior * m + beside)]), np.concatenate([after[more], merged[has]]))
+        ok = np.flatnonzero(piece >= 0)
+        propose(row[ok], column[ok], nxt[ok], piece[ok], m)
 
 
 def _by_heap(v: Vocabulary, sym: np.ndarray, a: np.ndarray, b: np.ndarray, key: np.uint64, limit: np.uint64):
@@ -256,13 +338,16 @@ def encode(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, variants: np.nd
         return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
     ends = np.append(starts[1:], len(data))
     firsts = np.searchsorted(starts, offsets, "left")
-    names = common.word_hashes(data, starts, ends) ^ common.stable_hash(np.repeat(variants.astype(np.uint64), np.diff(firsts)), seed)
+    words = common.word_hashes(data, starts, ends)
+    _, one, form = np.unique(words, return_index=True, return_inverse=True)
+    forms = _forms(v, data, starts[one], ends[one])
+    keys = words ^ common.stable_hash(np.repeat(variants.astype(np.uint64), np.diff(firsts)), seed)
     if by_place and rate > 0:
         place = np.arange(len(starts)) - np.repeat(firsts[:-1], np.diff(firsts))
-        tokens, begins = encode_segments(v, data, starts, ends, common.mix64(names + common.stable_hash(place, seed + 1)), rate)
+        tokens, begins = encode_segments(v, data, forms, form, common.mix64(keys + common.stable_hash(place, seed + 1)), rate)
         return tokens, begins[firsts]
-    keys, one, inverse = np.unique(names, return_index=True, return_inverse=True)
-    tokens, begins = encode_segments(v, data, starts[one], ends[one], keys, rate)
+    keys, one, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    tokens, begins = encode_segments(v, data, forms, form[one], keys, rate)
     sizes = np.diff(begins)[inverse]
     total = np.concatenate([[0], np.cumsum(sizes)])
     take = np.arange(int(total[-1])) - np.repeat(total[:-1], sizes) + np.repeat(begins[:-1][inverse], sizes)

@@ -81,3 +81,19 @@ def test_every_document_and_every_place_has_its_own_draws(spark):
     assert all(r.round_trip for r in got)
     assert len({tuple(r.tokens) for r in got}) == 60
     assert all(len(r.tokens) % 20 or r.tokens != r.tokens[: len(r.tokens) // 20] * 20 for r in got)
+
+
+def test_repeats_of_a_word_are_drawn_at_the_rate():
+    v, n = pieces.load(pieces.MODEL), 4000
+    for rate in (0.1, 0.4):
+        data = np.frombuffer(b"a" + b" a" * (n - 1), np.uint8)  # each is one candidate: the space with the letter
+        tokens, at = pieces.encode(v, data, np.array([0, len(data)]), np.array([5]), rate, 23, by_place=True)
+        split = len(tokens) - n
+        assert abs(split / n - rate) < 4 * (rate * (1 - rate) / n) ** 0.5
+    word = np.frombuffer(b" unhappiness" * 400, np.uint8)
+    tokens, _ = pieces.encode(v, word, np.array([0, len(word)]), np.array([5]), 0.1, 23, by_place=True)
+    text = " ".join(map(str, tokens.tolist()))
+    plain, _ = pieces.encode(v, word, np.array([0, len(word)]), np.array([5]), 0.0, 23)
+    assert len(plain) < len(tokens)
+    one = " ".join(map(str, plain[len(plain) // 400 : 2 * len(plain) // 400].tolist()))
+    assert 0 < text.count(one) < 300
