@@ -1,9 +1,13 @@
 import base64
 import hashlib
 import html
+import math
 import re
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from leafloom.llm import html_text, warc
 
@@ -36,6 +40,93 @@ def test_links_lower_a_block():
     assert html_text.extract(f"<body><div><ul>{links}</ul></div><div>{body}</div></body>") == " ".join(f"{LONG} {i}" for i in range(5))
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        # what only a part of a name hints at stays, unless it is mostly links
+        (f'<body><article><p>{LONG}</p><section class="related-work"><h2>Work</h2><p>{LONG} a</p></section><p class="notice-board">{LONG} b</p><section id="search-algorithms"><p>{LONG} c</p></section></article></body>', f"{LONG} Work {LONG} a {LONG} b {LONG} c"),
+        (f'<body><article><p>{LONG}</p><div class="related-reading"><a href=1>one more</a> <a href=2>two more</a></div></article></body>', LONG),
+        (f'<body><article><p>{LONG}</p><div class="related-posts"><p>{LONG}</p></div><ul class="social-share"><li>{LONG}</ul></article></body>', LONG),
+        # without an article element: the core, dense blocks beside it, headings
+        (f"<body><div class=site-header>Site</div><div id=page><h1>Title</h1><div class=t><p>{LONG} 1</p><p>{LONG} 2</p><p>{LONG} 3</p></div><p>{LONG} 4</p></div><div id=comment-list><p>{LONG}</p></div><div class=footer>f</div></body>", f"Title {LONG} 1 {LONG} 2 {LONG} 3 {LONG} 4"),
+        # a form or a marked wrapper around everything, and readers' words longer than the text
+        (f"<body><form><nav><a href=1>menu</a></nav><div><p>{LONG} 1</p><p>{LONG} 2</p></div></form></body>", f"{LONG} 1 {LONG} 2"),
+        (f"<body><div class=widget><p>{LONG} 1</p><p>{LONG} 2</p><div class=ad>{LONG}</div></div><p>x</p></body>", f"{LONG} 1 {LONG} 2"),
+        (f"<body><article><p>{LONG}</p></article><section class=comments>" + f"<p>{LONG} me too</p>" * 40 + "</section></body>", LONG),
+        (f"<body><article><p>{LONG}</p><p hidden>{LONG}</p><p style='display: none'>{LONG}</p></article></body>", LONG),
+        (f"<body><main><p>{LONG}</p></main><header>{LONG}</header><aside>{LONG}</aside></body>", LONG),
+    ],
+)
+def test_density_decides(page, want):
+    assert html_text.extract(page) == want
+
+
+def _figures(node):
+    """Characters, tags, link characters and link tags of an element by plain recursion."""
+    chars = tags = linked = links = 0
+    for x in node.parts:
+        if isinstance(x, str):
+            chars += len(html.unescape(" ".join(x.split())))
+        else:
+            c, t, lc, lt = _figures(x)
+            chars, tags, linked, links = chars + c, tags + t + 1, linked + lc, links + lt + (x.tag == "a")
+    return chars, tags, chars if node.tag == "a" else linked, links
+
+
+def _composite(chars, tags, linked, links, share):
+    if chars == 0:
+        return 0.0
+    log_base = math.log(chars / max(chars - linked, 1) * max(linked, 1) + share * chars + math.e)
+    return chars / max(tags, 1) * math.log(max(chars / max(linked, 1) * max(tags, 1) / max(links, 1), 1.0) + 1) / math.log(log_base + 1e-9)
+
+
+_TREES = st.recursive(
+    st.text("ab &", min_size=1, max_size=30).map(lambda x: x.replace("&", "&amp;")),
+    lambda kids: st.tuples(st.sampled_from(["div", "section", "span", "a", "b"]), st.lists(kids, max_size=4)).map(lambda x: f"<{x[0]}>{''.join(x[1])}</{x[0]}>"),
+    max_leaves=25,
+)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(_TREES, min_size=1, max_size=4))
+def test_densities_and_the_core_by_plain_recomputation(parts):
+    root = html_text.parse(f"<body>{''.join(parts)}</body>")
+    order = html_text._order(root)
+    body = next(x for x in order if x.tag == "body")
+    html_text.measure(order)
+    html_text._densities(order, body)
+    _, _, linked, _ = _figures(body)
+    share = linked / max(_figures(body)[0], 1)
+    for x in order:
+        assert (x.chars, x.tags, x.link_chars, x.link_tags) == _figures(x)
+        assert math.isclose(x.density, _composite(*_figures(x), share), abs_tol=1e-12)
+        assert math.isclose(x.total, sum(_composite(*_figures(k), share) for k in x.parts if not isinstance(k, str)), abs_tol=1e-9)
+    chosen = html_text.main_nodes(html_text.parse(f"<body>{''.join(parts)}</body>"))
+    inside = [x for x in order if any(y is body for y in html_text._up(x))]
+    core = max(inside, key=lambda x: x.total)
+    if core.total and core is not body:
+        path = [x for x in html_text._up(core) if any(y is body for y in html_text._up(x))]
+        assert any((c.tag, c.chars, c.total) == (core.tag, core.chars, core.total) for c in chosen)
+        low = min(x.density for x in path)
+        beside = [k for x in path if x is not core for k in x.parts if not isinstance(k, str) and not any(k is y for y in path)]
+        want = sum(k.tag in ("div", "section") and k.density >= low for k in beside) + 1
+        assert len(chosen) == want
+
+
+def test_deep_and_broken_pages_take_time_in_proportion():
+    pages = [
+        "<div>" * 20_000 + f"<p>{LONG}</p>" + "</div>" * 20_000,
+        "<div>" * 20_000 + f"<p>{LONG}</p>" + "</span></section></b>" * 20_000,
+        "<span>" * 20_000 + "<hr>" * 20_000 + f"<p>{LONG}</p>",
+        f"<p>{LONG}</p>" + "<svg>" * 20_000,
+        "<div class=sidebar>" * 20_000 + f"<p>{LONG}</p>",
+    ]
+    for page in pages:
+        began = time.process_time()
+        assert html_text.extract(page).strip() == LONG
+        assert time.process_time() - began < 3
+
+
 def test_all_pages_give_their_articles(spark, sf):
     pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     for r in html_text.op8_main_text(spark, sf).collect():
