@@ -7,6 +7,7 @@ Texts are held as one byte buffer per batch with document offsets. Words are run
 from __future__ import annotations
 
 import pickle
+import re
 import tempfile
 import zlib
 from collections.abc import Callable, Iterator
@@ -30,15 +31,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A table of up to this many rows is broadcast, after it was counted.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A broadcast of ``df`` if it is counted to be small, else ``df``, for a shuffled join."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder that all executors share: ``spark.checkpoint.dir``; on one machine, a temporary one where that is unset."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="leafloom-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in any store that Spark writes to."""
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    to.getFileSystem(spark._jsc.hadoopConfiguration()).delete(to, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder once, with its lineage cut."""
     shared_dir(df.sparkSession)

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from leafloom.llm import common
 
-#: Hashed weights; labelled documents per language and characters of each that the model is fitted on, at most.
-BUCKETS, FIT_DOCS, FIT_CHARS = 1 << 18, 400, 4000
+#: Hashed weights; labelled documents per language, in whole, that the model is fitted on, at most.
+BUCKETS, FIT_DOCS = 1 << 18, 400
 #: Words in a training sequence, sequences, passes, and occurrences that put a word into the lexicon.
 SEQUENCE, SEQUENCES, EPOCHS, LEXICON_LEAST = 40, 4000, 30, 3
 #: Sizes of byte n-grams with the word's ends marked.
@@ -187,8 +187,6 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
         return Crf(labels, np.zeros((BUCKETS, k), np.float32), np.zeros(k), np.zeros((k, k)), np.zeros(0, np.uint64))
     hashes, one, word, seen = np.unique(common.word_hashes(data, starts, ends), return_index=True, return_inverse=True, return_counts=True)
     lexicon = hashes[seen >= LEXICON_LEAST]
-    ids, begins = features(data, starts[one], ends[one], hashes, lexicon)
-    owner = np.repeat(np.arange(len(hashes), dtype=np.int32), np.diff(begins))
     label_of = np.array([labels.index(x) for x in langs])
     by_label = [np.flatnonzero((label_of == c) & (np.diff(firsts) > 0)) for c in range(k)]
     usable = [c for c in range(k) if len(by_label[c])]
@@ -203,6 +201,11 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
             got = word[a : min(a + run, int(firsts[d + 1]), a + SEQUENCE - at)]
             x[s, at : at + len(got)], y[s, at : at + len(got)] = got, c
             at += len(got)
+    # features of the words in the sequences, so that very long texts cost no more
+    drawn, x = np.unique(x, return_inverse=True)
+    x, hashes, one = x.reshape(y.shape), hashes[drawn], one[drawn]
+    ids, begins = features(data, starts[one], ends[one], hashes, lexicon)
+    owner = np.repeat(np.arange(len(hashes), dtype=np.int32), np.diff(begins))
     weights, start, moves = np.zeros((BUCKETS, k)), np.zeros(k), np.zeros((k, k))
     used = np.flatnonzero(np.bincount(ids, minlength=BUCKETS))
     place = np.zeros(BUCKETS, np.int32)
@@ -229,17 +232,20 @@ def fit(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
     return Crf(labels, weights.astype(np.float32), start, moves, lexicon)
 
 
-def training_rows(docs: DataFrame, per_lang: int = FIT_DOCS, chars: int = FIT_CHARS) -> DataFrame:
-    """(lang, text): up to ``per_lang`` different labelled texts of each language by hash, up to ``chars`` characters of each.
+def training_rows(docs: DataFrame, per_lang: int = FIT_DOCS) -> DataFrame:
+    """(lang, text): up to ``per_lang`` different labelled texts of each language, those of the smallest hashes.
 
-    The hashes are chosen without the texts, and each task passes on its smallest only; then the chosen are looked up.
+    The hashes are chosen without the texts: only a share of all hashes in which four times the sample can be expected
+    is ranked, so the ranked rows do not grow with the table, whatever a language's share of it.
     """
     rows = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("_h"), "text")
-    by = W.partitionBy("lang").orderBy("_h")
-    # copies share a hash and take one place
-    chosen = rows.select("lang", "_h").distinct().withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= per_lang).select("lang", "_h")
-    # per_lang rows of 16 bytes for each language
-    found = rows.join(F.broadcast(chosen), ["lang", "_h"]).select("lang", "_h", F.substring("text", 1, chars).alias("text"))
+    place = F.pmod("_h", F.lit(1 << 40))
+    hashes = rows.select("lang", "_h")
+    different = hashes.groupBy("lang").agg(F.approx_count_distinct("_h").alias("_d"))  # a row a language
+    near = hashes.join(common.small(different), "lang").where(place * F.col("_d") < 4.0 * per_lang * (1 << 40)).select("lang", "_h").distinct()
+    by = W.partitionBy("lang").orderBy(place, "_h")
+    chosen = near.withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= per_lang).select("lang", "_h")
+    found = rows.join(common.small(chosen), ["lang", "_h"])
     return found.groupBy("lang", "_h").agg(F.min("text").alias("text")).select("lang", "text")
 
 
@@ -253,7 +259,7 @@ def identify(docs: DataFrame, train: DataFrame, with_spans: bool = False) -> Dat
     table stays empty.
     """
     spark = docs.sparkSession
-    # FIT_DOCS rows of FIT_CHARS characters for each language
+    # FIT_DOCS texts of each language
     model = common.fitted(training_rows(train), lambda rows: fit([t for _, t in rows], [c for c, _ in rows]))
     shared = spark.sparkContext.broadcast(model)
     span = "array<struct<first_word:long,words:long,lang:string>>"

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from leafloom.llm import common
 
-#: Hashed weights; rated documents that the model is fitted on and characters of each, at most; steps and penalty.
-BUCKETS, FIT_ROWS, FIT_CHARS, STEPS, PENALTY = 1 << 18, 8_000, 20_000, 60, 2.0
+#: Hashed weights; rated documents, in whole, that the model is fitted on, at most; steps and penalty.
+BUCKETS, FIT_ROWS, STEPS, PENALTY = 1 << 18, 8_000, 60, 2.0
 #: Rated documents that a feature must be in, and lengths in bytes of word beginnings.
 LEAST_ROWS, BEGINNINGS = 5, (4, 5)
 #: Text bytes that are turned into features at once.
@@ -175,23 +175,28 @@ def _lbfgs(loss, x: np.ndarray, memory: int = 8) -> np.ndarray:
     return x
 
 
-def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, grade) of rated documents: 0 for low quality, 1 for good but toxic, 2 for good and clean.
+def ratings(labels: DataFrame) -> DataFrame:
+    """(doc_id, grade): 0 for low quality, 1 for good but toxic, 2 for good and clean.
 
-    A null toxic rating counts as not toxic; rows without a quality rating or a text are no ratings; of repeated
+    A null toxic rating counts as not toxic; rows without a doc_id or a quality rating are no ratings; of repeated
     ratings of a document the lowest counts.
     """
     grade = F.when(F.col("quality") < 1, 0).when(F.coalesce(F.col("toxic"), F.lit(0)) > 0, 1).otherwise(2)
-    one = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min(grade).alias("grade"))
-    texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.join(one, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
+    return labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min(grade).alias("grade"))
+
+
+def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, grade) of the documents that have a text and a rating."""
+    return docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text")).join(ratings(labels), "doc_id").select("doc_id", "text", "grade")
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> Ordinal:
-    """A model of the ratings, fitted on the ``rows`` rated documents with the smallest hashes."""
-    # the sample is chosen among the ratings alone, so only its texts are moved
-    some = labels.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(rows)
-    chosen = rated(docs, F.broadcast(some)).select("grade", F.substring("text", 1, chars).alias("text"))  # some: ``rows`` rows
+def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Ordinal:
+    """A model of the ratings, fitted on the whole texts of up to ``rows`` rated documents, those of the smallest hashes."""
+    # the sample is chosen by ids among the ratings of documents that are there, so only its texts are moved
+    there = docs.where("text is not null").select("doc_id").distinct()
+    some = ratings(labels).join(there, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
+    chosen = texts.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min(F.struct("grade", "text")).alias("_")).select("_.grade", "_.text")  # some: ``rows`` rows
     return common.fitted(chosen, lambda got: fit([t for _, t in got], [g for g, _ in got], 3))
 
 

@@ -113,3 +113,12 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (500, 500)], "a long, b long")
     got = {r.id: r.root for r in jaccard.components(edges).collect()}
     assert got == {i: 0 for i in range(201)} | {500: 500, 501: 500}
+
+
+def test_keep_one_takes_columns_of_any_type(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(3, text, {"a": 1}, [1.0]), (2, text, {"b": 2}, None), (2, text, {"a": 2}, [2.0]), (None, text, None, None), (None, None, None, None), (9, None, {}, [])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, _row array<double>")
+    got = sorted(map(tuple, jaccard.keep_one(df).collect()), key=str)
+    assert got == sorted([(2, text, {"a": 2}, [2.0]), (None, text, None, None), (None, None, None, None), (9, None, {}, [])], key=str)
+    assert jaccard.keep_one(df.limit(0)).collect() == []

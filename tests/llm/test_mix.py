@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 from leafloom.llm import mix
 
 
+@pytest.fixture(autouse=True)
+def short_blocks(monkeypatch):
+    """Blocks that suit these small tables."""
+    for f in (mix.mix_counts, mix.mix_documents, mix.taken):
+        monkeypatch.setattr(f, "__defaults__", (17, 16))
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(i, t, s, len(t or ""), "k", 1) for i, t, s in rows], "doc_id long, text string, source string, n_chars long, key string, size int")
 
@@ -86,6 +93,27 @@ def test_documents_hold_what_was_counted(spark):
     assert texts == +counts
 
 
+def test_extra_columns_may_have_any_name_and_type(spark):
+    rows = [(i, f"a{i} b c d e f g h", "s", {"k": i}, i, i, i, i, i) for i in range(40)] + [(None, "x y z", "s", None, 1, 1, 1, 1, 1)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, words map<string,int>, parts int, turn int, row int, n int, `all` int")
+    out = mix.mix_documents(df)
+    assert out.dtypes == df.dtypes
+    taken = {r.doc_id: r.taken for r in mix.mix_counts(df).collect() if r.doc_id is not None}
+    got = Counter()
+    for r in out.collect():
+        got[r.doc_id] += len(words(r.text))
+        assert (r.words is None and r.parts == 1) if r.doc_id is None else r.words == {"k": r.parts} and r["all"] == r.n == r.row == r.turn == r.doc_id
+    assert {k: v for k, v in got.items() if k is not None} == {k: v for k, v in taken.items() if v}
+
+
+def test_blocks_have_one_length(spark):
+    sized = mix.sizes(frame(spark, [(i, " ".join(["w"] * (50 + i)), "ab"[i % 3 == 0]) for i in range(90)]))
+    sources = mix.targets(sized, block_words=64)
+    parts = mix.pieces(mix.places(sized), sources).groupBy("key", "block").agg(F.sum("words").alias("n")).collect()
+    last = {r.key: r.blocks - 1 for r in sources.collect()}
+    assert all(r.n == 64 for r in parts if r.block < last[r.key]) and len(parts) == sum(last.values()) + len(last)
+
+
 def test_long_texts_span_blocks_and_empty_tables(spark):
     rows = [(1, "w " * 20_000, "a"), (2, "v " * 10, "a")]
     got = {r.doc_id: r for r in mix.mix_counts(frame(spark, rows)).collect()}

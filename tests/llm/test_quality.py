@@ -19,6 +19,62 @@ def test_likelihood_separates_grades_and_orders_thresholds():
     assert (tails[:, 0] >= tails[:, 1]).all() and tails.sum(1).argsort().tolist() == [0, 1, 2]
 
 
+def _plain(texts):
+    """A dense matrix of the hashed features of texts."""
+    at = np.cumsum([0] + [len(t.encode()) for t in texts]).astype(np.int64)
+    row, bucket, value = quality.features(np.frombuffer("".join(texts).encode(), np.uint8), at)
+    x = np.zeros((len(texts), quality.BUCKETS))
+    np.add.at(x, (row, bucket), value)
+    return x
+
+
+def test_the_fit_is_the_optimum_of_the_penalised_likelihood():
+    """Against the likelihood by its definition: its numeric gradient vanishes at the fit, and no step lowers it."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(8)]
+    texts, grades = [], []
+    for i in range(60):
+        g = int(rng.integers(0, 3))
+        texts.append(" ".join([*rng.choice(words, 6), *(["bad"] * (2 - g)), *(["fine"] * g)]))
+        grades.append(g)
+    model = quality.fit(texts, grades, 3)
+    x = _plain(texts)
+    used = np.flatnonzero((x != 0).sum(0) >= quality.LEAST_ROWS)
+    assert not model.weights[np.setdiff1d(np.arange(quality.BUCKETS), used)].any()
+    x = x[:, used]
+
+    def negative(w, cuts):
+        total = quality.PENALTY / 2 * (w**2).sum()
+        for row, g in zip(x, grades):
+            below = [0.0, *(1 / (1 + np.exp(-(c - row @ w))) for c in cuts), 1.0]
+            total -= np.log(below[g + 1] - below[g])
+        return total
+
+    w, cuts = model.weights[used].astype(float), np.array(model.cuts, float)
+    best, step = negative(w, cuts), 1e-4
+    for i in rng.choice(len(used), 12, replace=False):
+        e = np.zeros(len(used))
+        e[i] = step
+        assert abs(negative(w + e, cuts) - negative(w - e, cuts)) / (2 * step) < 0.02 * len(texts)
+    for _ in range(20):
+        assert negative(w + rng.normal(0, 0.05, len(w)), cuts + rng.normal(0, 0.05, 2)) > best - 1e-3 * best
+    # tail probabilities and the expected grade by their definition
+    tails = model.tails(x @ w)
+    assert np.allclose(tails, 1 / (1 + np.exp(-(x @ w)[:, None] + cuts[None, :])))
+
+
+def test_absent_and_null_documents_take_no_place_of_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"good text {i}") for i in range(10)] + [(50, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(500)] + [(None, 1, 0)] * 50, "doc_id long, quality int, toxic int")
+    seen = []
+    real, quality.common.fitted = quality.common.fitted, lambda df, f: seen.append(df.count()) or real(df, f)
+    try:
+        quality.learn(docs, labels, rows=8)
+    finally:
+        quality.common.fitted = real
+    assert seen == [8]
+
+
 def test_odd_rows_and_tables(spark):
     docs = spark.createDataFrame([(1, None, 5.0), (2, "", 5.0), (3, "good text here " * 50_000, 5.0), (3, "good text here " * 50_000, 5.0), (None, "bad", None)], "doc_id long, text string, p_clean double")
     labels = spark.createDataFrame([(3, 1, 0), (3, 1, None), (None, 1, 0), (2, None, 1), (1, 0, 0)], "doc_id long, quality int, toxic int")
