@@ -60,10 +60,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is written to the shared folder and read again by the next."""
+    """All stages over ``documents``; each one's result is written to the shared folder and read again by the next.
+
+    A stage's folder goes when the next stage's is written; that of the last but one stays for the result's readers.
+    """
     folder = f"{common.shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            common.remove(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
