@@ -73,23 +73,29 @@ def draw(sources: DataFrame, seed: int) -> DataFrame:
     return drawn.withColumn("first", F.coalesce(F.sum("drawn").over(by), F.lit(0)))
 
 
-def permuted(index, blocks, key, turn, seed: int):
-    """``index`` under a permutation of [0, blocks) that key, turn and seed choose (a swap-or-not shuffle)."""
+def rounds(seed: int, *names):
+    """The keys of the rounds of the permutation that these names and the seed choose."""
+    return F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), lambda r: F.xxhash64(F.lit(seed), *names, r))
 
-    def step(x, r):
-        other = F.pmod(F.pmod(F.xxhash64(F.lit(seed), key, turn, r), blocks) - x, blocks)
-        return F.when(F.xxhash64(F.lit(seed + 1), key, turn, r, F.greatest(x, other)).bitwiseAND(F.lit(1)) == 1, other).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index, step)
+def permuted(index, blocks, keys):
+    """``index`` under the permutation of [0, blocks) with these round keys (a swap-or-not shuffle)."""
+
+    def step(x, key):
+        other = F.pmod(F.pmod(key, blocks) - x, blocks)
+        return F.when(F.xxhash64(key, F.greatest(x, other)).bitwiseAND(F.lit(1)) == 1, other).otherwise(x)
+
+    return F.aggregate(keys, index, step)
 
 
 def slots(sources: DataFrame, seed: int = 17) -> DataFrame:
     """The mix: (shard, key, slot, turn, block) per output slot."""
     drawn = draw(sources, seed).join(common.small(sources.select("key", "blocks")), "key")
-    each = drawn.select("shard", "key", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("drawn") - 1)).alias("slot"))
-    turn = F.floor(F.col("slot") / F.col("blocks")).cast("long")
-    each = each.withColumn("turn", turn)
-    return each.select("shard", "key", "slot", "turn", permuted(F.pmod(F.col("slot"), F.col("blocks")), F.col("blocks"), F.col("key"), F.col("turn"), seed).alias("block"))
+    drawn = drawn.withColumn("rounds", F.array(*(rounds(seed, "key", F.lit(turn)) for turn in range(PASSES))))
+    each = drawn.select("shard", "key", "blocks", "rounds", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("drawn") - 1)).alias("slot"))
+    each = each.withColumn("turn", F.floor(F.col("slot") / F.col("blocks")).cast("long"))
+    block = permuted(F.pmod(F.col("slot"), F.col("blocks")), F.col("blocks"), F.get("rounds", F.col("turn").cast("int")))
+    return each.select("shard", "key", "slot", "turn", block.alias("block"))
 
 
 def places(sized: DataFrame) -> DataFrame:
@@ -162,9 +168,11 @@ def mix_documents(docs: DataFrame, seed: int = 17, block_words: int = BLOCK_WORD
     turned = turned.withColumn("parts", F.filter("parts", lambda p: p["uses"] >= F.col("turn"))).where(F.size("parts") > 0)
     got = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["words"])
     words = F.filter(F.split("row.text", SPACES), lambda w: w != "")
-    cut = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice("words", (p["first_word"] + 1).cast("int"), p["words"].cast("int")))), " ")
+    # the words are a lambda's variable, so that they are split once for all parts
+    chosen = lambda ws: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(ws, (p["first_word"] + 1).cast("int"), p["words"].cast("int")))), " ")
+    cut = F.get(F.transform(F.array(words), chosen), F.lit(0))
     whole = got == F.col("size")
-    turned = turned.withColumn("words", F.when(~whole, words)).withColumn("text", F.when(whole, F.col("row.text")).otherwise(cut))
+    turned = turned.withColumn("text", F.when(whole, F.col("row.text")).otherwise(cut))
     length = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return turned.select(*(F.col("text") if c == "text" else length[c].alias(c) if c in length else F.col("row").getField(c).alias(c) for c in docs.columns))
 

@@ -73,7 +73,7 @@ def test_reruns_agree_whatever_the_partitions(spark):
 
 def test_permutations_are_bijections(spark):
     df = spark.range(1000).select("id", F.lit(1000).cast("long").alias("n"), F.lit("k").alias("key"), F.lit(0).alias("turn"))
-    got = [r.p for r in df.select(mix.permuted(F.col("id"), F.col("n"), F.col("key"), F.col("turn"), 3).alias("p")).collect()]
+    got = [r.p for r in df.select(mix.permuted(F.col("id"), F.col("n"), mix.rounds(3, "key", "turn")).alias("p")).collect()]
     assert sorted(got) == list(range(1000)) and got != list(range(1000))
 
 
