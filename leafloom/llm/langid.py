@@ -26,6 +26,8 @@ from leafloom.llm import common
 BUCKETS, FIT_DOCS = 1 << 18, 400
 #: Words in a training sequence, sequences, passes, and occurrences that put a word into the lexicon.
 SEQUENCE, SEQUENCES, EPOCHS, LEXICON_LEAST = 40, 4000, 30, 3
+#: Text bytes at once; every byte takes some hundred bytes of work arrays.
+CHUNK_BYTES = 1 << 20
 #: Sizes of byte n-grams with the word's ends marked.
 GRAMS = (2, 3, 4, 5)
 
@@ -270,7 +272,7 @@ def identify(docs: DataFrame, train: DataFrame, with_spans: bool = False) -> Dat
         crf = shared.value
         for batch in batches:
             texts = _lower(batch.column(0))
-            for first, end, data, offsets in common.byte_chunks(texts):
+            for first, end, data, offsets in common.byte_chunks(texts, CHUNK_BYTES):
                 rows = end - first
                 starts, ends, firsts = common.word_spans(data, offsets)
                 names, best, share, runs = ["und"] * rows, np.zeros(rows), None, [[] for _ in range(rows)]
