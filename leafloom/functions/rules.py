@@ -122,3 +122,115 @@ ALWAYS_INCLUDED = ("front-preface", "front-notes")
 ALWAYS_EXCLUDED = ("cover-and-masthead", "editorial-board")
 EXCLUDED_PARTS = ("부 록", "후면부")
 SKIPPED_SECTIONS = ("part-intro",)
+
+# Bands of lines, columns and table regions, in points.
+BAND_SLACK, COLUMN_GAP = 3.0, 18.0
+SHORT_BAND, SHORT_WIDTH, SHORT_SHARE = 48, 180.0, 0.5
+#: (short only, least left: share of width and offset from the left edge, most right: edge, share and offset, own width as a share: from, to)
+CONTINUATIONS = (
+    (False, 0.0, -8.0, "right", 0.0, 18.0, 0.0, 0.55),
+    (True, -0.35, 0.0, "left", 0.18, 0.0, 0.0, None),
+    (True, 0.0, -8.0, "left", 0.22, 0.0, 0.0, None),
+    (False, 0.12, 0.0, "right", 0.0, 12.0, 0.35, None),
+)
+CENTER_OFFSET, CENTER_SHARE = 48.0, 0.2
+DENSE_BANDS, DENSE_UP, DENSE_DOWN = 4, 32.0, 50.0
+CHAIN_GAP, GROW_GAP, TAIL_GAP, TAIL_SHARE, TAIL_OFFSET = 42.0, 24.0, 18.0, 0.45, 12.0
+GROW_LINES, GROW_SHARE, GROW_CENTER, REGION_PAD = 2, 0.65, 36.0, 12.0
+CAPTION_OPENINGS = ("【", "[")
+
+# The table of contents.
+COVER_PAGES, FRONT_END = (1, 4), 12
+FRONT_PART, BACK_PART = "전면부", "후면부"
+FRONT_CHAPTERS = (("cover-and-masthead", "표지 및 발간정보"), ("front-preface", "머리말"), ("front-notes", "일러두기"))
+BACK_CHAPTER = ("editorial-board", "심판편람편찬위원", "편찬위원")
+
+# Chapters and their entries.
+INTRO_SENTENCE = "이 편은 다음 장으로 구성됩니다."
+OVERVIEW_TITLE, REVISION_TITLE = "개요", "개정 연혁"
+REVISION_TERMS = "부 록 개정 연혁 개정내용"
+HEADING_LEAD, HEADING_STOPS = 80, ".!?:"
+UNKNOWN_DATE = "미상"
+
+# The export's notes.
+EXPORT_NAME = "NotebookLM"
+IMAGE_NOTE, IMAGE_WORD = "[이미지 생략: {}]", "이미지"
+OMITTED_SECTION = "{title} section은 고위험 페이지 검토 항목 때문에 {name} v1에서 제외했습니다."
+EXCLUDED_COVER = "표지성 전면부 콘텐츠라서 {name} v1에서 제외했습니다."
+EXCLUDED_BACK = "후면부 관리성 콘텐츠라서 {name} v1에서 제외했습니다."
+EXCLUDED_APPENDIX = "부록은 표/서식 의존도가 높아 {name} v1에서 제외했습니다."
+EXCLUDED_RISKY = "고위험 페이지가 있으나 section heading이 없어 chapter 전체를 {name} v1에서 제외했습니다."
+KEPT_RISKY = "전면부 포함 정책에 따라 QA 위험 페이지가 있어도 chapter 전체를 유지했습니다."
+NO_BODY = "{name} v1에서 포함 가능한 본문이 없습니다."
+NO_CHAPTERS = "이 편은 {name} v1에서 포함 가능한 장이 없습니다. 제외 사유는 위 목록을 참고하세요."
+
+# Special sections, their terms, and a page comparison's limits.
+SPECIAL_GROUPS = ("front_preface", "front_notes", "toc", "part_intro", "revision_history", "legend", "appendix", "reconsideration_deadline", "fta_gi")
+SPECIAL_TERMS = (("appendix", "부칙"), ("appendix", "별첨"), ("reconsideration_deadline", "재검토기한"), ("fta_gi", "지리적 표시"), ("fta_gi", "FTA"))
+QUERY_GROUPS = ("front_preface", "front_notes", "part_intro", "revision_history", "appendix")
+LIMITS_ALWAYS = (
+    "PDF-side text comes from repaired page-review paragraphs, not OCR or browser text.",
+    "Rendered-side text comes from overlapping non-search-alias search entries, not page-exact browser extraction.",
+    "document-data HTML checks are coarse evidence only and do not prove exact page-to-HTML alignment.",
+)
+LIMIT_NO_CANDIDATE = "No overlapping non-search-alias search entries were available for this page."
+LIMIT_MANY = "Multiple overlapping non-search-alias sections make attribution ambiguous for this page."
+LIMIT_NO_CHAPTER = "Representative chapter HTML was not found in document-data."
+LIMIT_NO_SECTION = "Representative section marker was not found in chapter HTML, so section evidence is coarse only."
+LIMIT_SECTIONS = "This page is flagged as multi-section-page, so page-level attribution remains ambiguous even when a representative section is available."
+LIMIT_MERGED = "This page is flagged for page-merge behavior, so page-level fidelity cannot be treated as page-exact."
+
+# The text of a bundle's ledger; names in braces are filled in.
+LEDGER = """# PDF ↔ Web Audit R2 Bundle ({bundle})
+
+## 1. Bundle mode
+
+- mode: offline derived bundle
+- source of truth: `data/generated/`
+- manual/browser evidence: not regenerated here; any manual verification remains manual-only
+{baseline}
+## 2. Coverage summary
+
+- page count: `{pages}`
+- delivery modes: `reader-body {reader_body}`, `toc-transform {toc_transform}`, `search-only {search_only}`
+- text pages not exposed: `{hidden_text_pages}`
+- uncovered body pages: `{uncovered_body_pages}`
+- toc span: `{toc_span}`
+
+## 3. Special sections
+
+{special_sections}
+
+## 4. Offline search artifacts
+
+- search corpus entries: `{entries}`
+- query count: `{queries}`
+- matched queries: `{matched}`
+- empty queries: `{empty}`
+- `search-checks.json` contains the offline top-match summary for the fixed query set.
+
+## 5. First-pass content fidelity diff
+
+- compared pages: `{compared}`
+- residue pages included: `{residue}`
+- sampled high-risk prose pages: `{sampled}`
+- statuses: `candidate-backed {backed}`, `ambiguous {ambiguous}`, `unsupported {unsupported}`
+- sampled high-risk token loss rate: `{loss}`
+- `content-fidelity-diff.json` compares repaired page-review paragraph text to overlapping non-alias search-entry text, with only coarse chapter/section HTML evidence.
+
+## 6. Regression diff
+
+- changed artifacts vs baseline: `{changed}`
+- unchanged artifacts vs baseline: `{unchanged}`
+- baseline-missing artifacts: `{missing}`
+
+## 7. Generated files
+
+{files}
+
+## 8. Manual verification status
+
+- Browser screenshots, navigation checks, and other manual evidence are intentionally not synthesized in this offline R2 bundle.
+- If a previous manually verified bundle exists, treat it as manual evidence only rather than as regenerated proof.
+"""
+ARTIFACTS = ("page-coverage-ledger.json", "special-sections.json", "content-fidelity-diff.json", "regression-diff.json", "search-corpus.json", "search-results.json", "search-checks.json", "ledger.md")

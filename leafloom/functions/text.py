@@ -13,7 +13,6 @@ from leafloom.functions import rules
 
 #: White space as Python and Unicode see it.
 WS = r"(?U)\s"
-BOUNDARY = ""
 
 
 def normalize(c: Column) -> Column:
@@ -68,22 +67,30 @@ def strip_headers(array: Column, patterns=rules.RUNNING_HEADERS, heading: str =
     return F.filter(kept, lambda x, i: ~repeated(x, i))
 
 
-def repair(c: Column, table=rules.REPAIRS, rounds: int = 4) -> Column:
-    """Split words put together by ordered rules, applied again until nothing changes (``rounds`` are unrolled).
+def repair(c: Column, table=rules.REPAIRS) -> Column:
+    """Split words put together by ordered rules, applied again until nothing changes.
 
-    A rule only removes white space between given words, so texts settle after as many rounds as rules feed each other.
+    A rule removes white space, so a text settles after as many rounds as it has words at most; a round that changed
+    nothing is the last one that does any work.
     """
     if not table:
         return c
     hit = "|".join(f"(?:{p})" for p, _ in table)
     once = lambda x: reduce(lambda y, r: F.regexp_replace(y, r[0], r[1]), table, x)
-    # a fold keeps the rules once in the plan, whatever the rounds; texts without a hit pass through
-    return F.when(c.rlike(hit), F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), c, lambda x, _: once(x))).otherwise(c)
+    # a fold keeps the rules once in the plan; texts without a hit pass through
+    start = F.struct(c.alias("text"), F.lit(False).alias("settled"))
+
+    def step(acc, _):
+        now = F.when(acc["settled"], acc["text"]).otherwise(once(acc["text"]))
+        return F.transform(F.array(now), lambda x: F.struct(x.alias("text"), (x == acc["text"]).alias("settled")))[0]
+
+    rounds = F.sequence(F.lit(1), F.regexp_count(c, F.lit(WS + "+")) + 1)
+    return F.when(c.rlike(hit), F.aggregate(rounds, start, step, lambda acc: acc["text"])).otherwise(c)
 
 
 def for_search(c: Column) -> Column:
     """The index's normal form: normalised and repaired."""
-    return repair(normalize(F.coalesce(c, F.lit(""))), rounds=2)
+    return repair(normalize(F.coalesce(c, F.lit(""))))
 
 
 def for_matching(c: Column) -> Column:
@@ -96,13 +103,16 @@ def excerpt(c: Column, limit: int = 160) -> Column:
 
 
 def compact(c: Column, longest: int = 120) -> Column:
-    """The first sentence if it fits, else the text clipped at a late word's end, with an ellipsis."""
-    x = normalize(c)
+    """The text without guide dots; if it is too long, its first sentence if that fits, else clipped at a late word's end.
+
+    A sentence ends with its mark, or with the syllable 다 or 요 before a full stop. Null is empty.
+    """
+    x = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), "[·․]+", " "), WS + "+", " "))
     head = F.substring(x, 1, longest)
-    sentence = F.regexp_extract(head, r"^(.*?[.!?])(?:\s|$)", 1)
+    ahead = F.length(F.regexp_extract(x, r"^(.*?)(?:[.!?]\s|[다요]\.\s)", 1))
     last = F.length(head) - F.locate(" ", F.reverse(head))
     clipped = F.when((F.locate(" ", F.reverse(head)) > 0) & (last >= longest * 0.6), F.substr(head, F.lit(1), last)).otherwise(head)
-    return F.when(F.length(x) <= longest, x).when(sentence != "", sentence).otherwise(F.concat(F.rtrim(clipped), F.lit("…")))
+    return F.when(F.length(x) <= longest, x).when((ahead > 0) & (ahead + 1 <= longest), F.trim(F.substr(x, F.lit(1), ahead + 1))).otherwise(F.concat(F.rtrim(clipped), F.lit("…")))
 
 
 def escape_html(c: Column) -> Column:
@@ -179,6 +189,11 @@ def cells(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, rules.TABLE_CELLS), lambda x: F.trim(x)), lambda x: x != "")
 
 
+def encoded(c: Column) -> Column:
+    """A nested value as JSON text with its nulls."""
+    return F.to_json(c, {"ignoreNullFields": "false"})
+
+
 def display(c: Column, labels: dict[str, str]) -> Column:
     """A code's label, or the code itself."""
     table = F.create_map(*(F.lit(x) for pair in labels.items() for x in pair))
@@ -191,17 +206,46 @@ def has_residue(words: Column, test) -> Column:
     return F.coalesce(F.exists(F.zip_with(left, right, test), lambda x: x), F.lit(False))
 
 
+def _verdicts(o, left, right):
+    """(test, whether two Hangul words are one) in the order in which the tests decide; ``o`` says how values are tested."""
+    suffixes = (*rules.SUFFIX_TOKENS, *rules.SUFFIX_PREFIXES)
+    alone, long = o.among(left, rules.LEFT_STANDALONE), o.size(left) >= 2
+    head, rest = o.first(right), o.rest(right)
+    return (
+        (o.among(right, suffixes) | o.among(head, rules.COMPOUND_TAILS) & o.among(rest, suffixes), o.no(alone)),
+        (long & o.among(head, ("자",)) & o.among(rest, suffixes) | o.among(o.last(left), ("으",)) & o.among(head, ("로",)), True),
+        (alone | o.among(right, rules.RIGHT_STANDALONE) | long & o.among(o.last(left), rules.PARTICLE_ENDINGS), False),
+        (o.among(left, rules.COMPOUND_HEADS) & (o.size(right) >= 3) | o.among(right, rules.COMPOUND_TAILS), True),
+    )
+
+
+class _Columns:
+    """Tests on Columns."""
+
+    among = staticmethod(lambda c, words: c.isin(*words))
+    size = staticmethod(F.length)
+    first = staticmethod(lambda c: F.substring(c, 1, 1))
+    rest = staticmethod(lambda c: F.substring(c, 2, 20))
+    last = staticmethod(lambda c: F.substring(c, -1, 1))
+    no = staticmethod(lambda c: ~c)
+
+
+class _Words:
+    """The same tests on strings."""
+
+    among = staticmethod(lambda c, words: c in words)
+    size = staticmethod(len)
+    first = staticmethod(lambda c: c[:1])
+    rest = staticmethod(lambda c: c[1:])
+    last = staticmethod(lambda c: c[-1:])
+    no = staticmethod(lambda c: not c)
+
+
 def residue_pair(left: Column, right: Column) -> Column:
     """Whether two Hangul words are likely one that a line break has split."""
-    suffix = lambda c: c.isin(*rules.SUFFIX_TOKENS, *rules.SUFFIX_PREFIXES)
-    rest, head, alone = F.substring(right, 2, 20), F.substring(right, 1, 1), left.isin(*rules.LEFT_STANDALONE)
-    long = F.length(left) >= 2
-    rule = (
-        F.when(suffix(right) | head.isin(*rules.COMPOUND_TAILS) & suffix(rest), ~alone)
-        .when(long & (head == "자") & suffix(rest) | F.endswith(left, F.lit("으")) & (head == "로"), F.lit(True))
-        .when(alone | right.isin(*rules.RIGHT_STANDALONE) | long & F.substring(left, -1, 1).isin(*rules.PARTICLE_ENDINGS), F.lit(False))
-        .otherwise(left.isin(*rules.COMPOUND_HEADS) & (F.length(right) >= 3) | right.isin(*rules.COMPOUND_TAILS))
-    )
+    rule = F.lit(False)
+    for test, verdict in reversed(_verdicts(_Columns, left, right)):
+        rule = F.when(test, verdict).otherwise(rule)
     return left.rlike("^[가-힣]+$") & right.rlike("^[가-힣]+$") & (F.length(left) + F.length(right) <= 8) & rule
 
 
@@ -214,51 +258,54 @@ _HANGUL = re.compile("[가-힣]+")
 _REPAIRS = [(re.compile(p), r) for p, r in rules.REPAIRS]
 
 
-_SUFFIXES = {*rules.SUFFIX_TOKENS, *rules.SUFFIX_PREFIXES}
-
-
 def _one_word(left: str, right: str) -> bool:
     """``residue_pair`` for two words outside Spark."""
     if not left or not right or len(left) + len(right) > 8:
         return False
-    alone = left in rules.LEFT_STANDALONE
-    if right in _SUFFIXES or right[0] in rules.COMPOUND_TAILS and right[1:] in _SUFFIXES:
-        return not alone
-    if len(left) >= 2 and right[0] == "자" and right[1:] in _SUFFIXES or left[-1] == "으" and right[0] == "로":
-        return True
-    if alone or right in rules.RIGHT_STANDALONE or len(left) >= 2 and left[-1] in rules.PARTICLE_ENDINGS:
-        return False
-    return left in rules.COMPOUND_HEADS and len(right) >= 3 or right in rules.COMPOUND_TAILS
+    return next((verdict for test, verdict in _verdicts(_Words, left, right) if test), False)
+
+
+def repaired(x: str) -> str:
+    """``repair`` outside Spark."""
+    before = None
+    while before != x and _HANGUL.search(x):  # the rules are about Hangul words
+        before = x
+        for p, r in _REPAIRS:
+            x = p.sub(r, x)
+    return x
+
+
+def bookmark_title(x: str) -> str:
+    """``clean_title`` of a bookmark outside Spark."""
+    return " ".join(re.sub("[\0․ㆍ·]", " ", x).split()).replace(" ,", ",")
 
 
 def _joined(segments: list[str] | None) -> str | None:
     if segments is None:
         return None
-    out = ""
+    out: list[str] = []
+    tail = ""  # the last characters so far: all that a join looks at
     for segment in (" ".join(s.replace("\0", " ").split()) for s in segments if s):
         if not segment:
             continue
         # the Hangul that touches the break: up to six before it and ten behind it
-        left, right = re.search("[가-힣]{0,6}$", out)[0], re.match("[가-힣]{0,10}", segment)[0]
-        cited = re.match(r"§[0-9A-Za-z().-]", segment) and re.search("[0-9A-Za-z가-힣]$", out)
-        out += segment if not out or cited or _one_word(left, right) else " " + segment
-    if _HANGUL.search(out):  # the rules are about Hangul words
-        before = None
-        while before != out:
-            before = out
-            for p, r in _REPAIRS:
-                out = p.sub(r, out)
-    return out
+        left, right = re.search("[가-힣]{0,6}$", tail)[0], re.match("[가-힣]{0,10}", segment)[0]
+        cited = re.match(r"§[0-9A-Za-z().-]", segment) and re.search("[0-9A-Za-z가-힣]$", tail)
+        out += [segment] if not out or cited or _one_word(left, right) else [" ", segment]
+        tail = "".join(out[-12:])[-6:]
+    return repaired("".join(out))
 
 
-def join_segments(array: Column) -> Column:
+def join_segments(array: Column, repair_each: bool = False) -> Column:
     """Segments of a paragraph joined: references and split words without a space, others with one, then repaired.
 
-    Each join looks at the words that earlier joins have made, so this runs over Arrow batches.
+    Each join looks at the words that earlier joins have made, so this runs over Arrow batches. Blank and null segments
+    are passed over; a null array stays null. ``repair_each`` repairs segments before they are joined as well.
     """
+    each = (lambda x: [repaired(s) for s in x if s]) if repair_each else list
 
     def run(column: pd.Series) -> pd.Series:
-        return pd.Series([_joined(list(x) if x is not None else None) for x in column], dtype=object)
+        return pd.Series([_joined(each(x) if x is not None else None) for x in column], dtype=object)
 
     return F.pandas_udf(run, "string")(array)
 
@@ -303,4 +350,6 @@ def python_round(c: Column, digits: int = 1) -> Column:
     # an error may reach below the floor's own whole number
     down, up = F.when((product == whole) & (error < -0.5), whole - 1).otherwise(whole), whole + 1
     even = F.when(whole % 2 == 0, whole).otherwise(up)
-    return F.when(over > 0, up).when(over < 0, down).otherwise(even) / scale
+    rounded = F.when(over > 0, up).when(over < 0, down).otherwise(even) / scale
+    # whole numbers, infinities and NaN are what they are
+    return F.when(F.isnan(x) | (F.abs(x) >= 2.0**52), x).otherwise(rounded)

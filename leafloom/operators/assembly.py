@@ -1,25 +1,21 @@
-"""Document assembly: parts and chapters from an outline, sections from text, tables and pages as HTML, Markdown."""
+"""Texts cut to sections, blocks that continue each other, and boxes matched to boxes."""
 
 from __future__ import annotations
 
-import html as htmllib
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leafloom.functions import rules, text
-
 
 def sections(df: DataFrame, key: str, content: str, pattern: str, title: int = 1) -> DataFrame:
-    """(key, ord, title, body): a text cut where a heading pattern occurs; what is before the first is the overview."""
-    marks = F.regexp_replace(content, pattern, F.concat(F.lit("$"), F.lit(str(title)), F.lit("")))
-    parts = df.select(key, F.posexplode(F.split(marks, "")).alias("ord", "part"))
-    cut = F.locate("", F.col("part"))
-    headed = (F.col("ord") > 0) & (cut > 0)
-    return parts.select(key, "ord", F.when(headed, F.substr("part", F.lit(1), cut - 1)).otherwise("overview").alias("title"), F.when(headed, F.substr("part", cut + 1, F.length("part"))).otherwise(F.col("part")).alias("body"))
+    """(key, ord, title, body): a text cut where a heading pattern occurs; what is before the first is the overview.
+
+    The pattern must match some text. Null texts give no rows, empty ones an empty overview.
+    """
+    titles = F.concat(F.array(F.lit("overview")), F.regexp_extract_all(content, F.lit(pattern), title))
+    parts = F.arrays_zip(titles.alias("title"), F.split(content, pattern).alias("body"))
+    return df.where(F.col(content).isNotNull()).select(key, F.posexplode(parts).alias("ord", "p")).select(key, "ord", "p.title", "p.body")
 
 
 def merged_blocks(df: DataFrame, keys: list[str], order: str, content: str, joins: Column) -> DataFrame:
@@ -31,121 +27,23 @@ def merged_blocks(df: DataFrame, keys: list[str], order: str, content: str, join
     return g.select(*keys, "block", "n_parts", F.array_join(F.col(f"t.{content}"), " ").alias(content))
 
 
-def table_html(rows: Column) -> Column:
-    """An HTML table of an array of cell arrays: padded, with leading header rows up to the first code-like cell."""
-    widest = F.array_max(F.transform(rows, F.size))
-    body = F.aggregate(rows, F.struct(F.lit(0).alias("n"), F.lit(False).alias("found")), lambda a, r: F.struct(F.when(a["found"] | F.coalesce(F.get(r, F.lit(0)).rlike(rules.BODY_FIRST_CELL), F.lit(False)), a["n"]).otherwise(a["n"] + 1).alias("n"), (a["found"] | F.coalesce(F.get(r, F.lit(0)).rlike(rules.BODY_FIRST_CELL), F.lit(False))).alias("found")))
-    heads = F.when(body["found"], body["n"]).otherwise(F.lit(1))
-
-    def row(r, i):
-        tag = F.when(i < heads, "th").otherwise("td")
-        full = F.concat(r, F.array_repeat(F.lit(""), widest - F.size(r)))
-        return F.concat(F.lit("<tr>"), F.array_join(F.transform(full, lambda c: F.concat(F.lit("<"), tag, F.lit(">"), text.escape_html(c), F.lit("</"), tag, F.lit(">"))), ""), F.lit("</tr>"))
-
-    return F.concat(F.lit("<table>"), F.array_join(F.transform(rows, row), ""), F.lit("</table>"))
-
-
-def part_intro(title: Column, items: Column) -> Column:
-    """A sentence about a part with its chapters, or its title alone."""
-    return F.when(F.size(items) == 0, title).otherwise(F.concat(title, F.lit(" 편의 구성: "), F.array_join(items, " / ")))
-
-
-def parse_intro(c: Column, prefix: str = " 편의 구성: ") -> tuple[Column, Column]:
-    """The description and the items of a part's sentence."""
-    at = F.locate(prefix, c)
-    return F.when(at > 0, F.substr(c, F.lit(1), at - 1)).otherwise(c), F.when(at > 0, F.split(F.substr(c, at + len(prefix), F.length(c)), " / ")).otherwise(F.array().cast("array<string>"))
-
-
-_BLOCK = re.compile(r"<(h[1-4]|p)\b[^>]*>(.*?)(?=</\1>|<(?:h[1-4]|p)\b|</article>|</body>|\Z)|<img\b([^>]*)>", re.S | re.I)
-_ALT = re.compile(r"alt=\"([^\"]*)\"", re.I)
-
-
-def _markdown(page: str | None, title: str | None, level: int) -> str | None:
-    if page is None:
-        return None
-    out = []
-    for m in _BLOCK.finditer(page):
-        if m.group(3) is not None:
-            alt = _ALT.search(m.group(3))
-            out.append(f"[이미지 생략: {htmllib.unescape(alt.group(1)) if alt else ''}]")
-            continue
-        tag, body = m.group(1).lower(), " ".join(htmllib.unescape(re.sub(r"<[^>]*>", " ", m.group(2))).split())
-        if not body or tag == "h2" and body == title:
-            continue
-        out.append(f"{'#' * (level + int(tag[1]) - 1)} {body}" if tag != "p" else body)
-    return "\n\n".join(out)
-
+def nearest_unused(df: DataFrame, other: DataFrame, keys: list[str], id_col: str, other_id: str, vector: str) -> DataFrame:
+    """Each row with the nearest of the other rows of equal ``keys`` by L1 distance, each used once: greedy in order of ids.
 
-def markdown(page: Column, title: Column, level: int = 1) -> Column:
-    """Headings and paragraphs of HTML as Markdown; images by a note, other markup dropped."""
-
-    def run(pages: pd.Series, titles: pd.Series) -> pd.Series:
-        return pd.Series([_markdown(p, t, level) for p, t in zip(pages, titles, strict=True)], dtype=object)
-
-    return F.pandas_udf(run, "string")(page, title)
-
-
-def inclusion(slug: Column, part: Column, headed: Column, risky: Column) -> Column:
-    """Whether a chapter goes into the export: include, exclude, or note in place of risky sections."""
-    never = slug.isin(*rules.ALWAYS_EXCLUDED) | part.isin(*rules.EXCLUDED_PARTS)
-    return F.when(never, "exclude").when(~risky | slug.isin(*rules.ALWAYS_INCLUDED), "include").when(headed, "omit-sections").otherwise("exclude")
-
-
-def nearest_unused(df: DataFrame, other: DataFrame, key: str, id_col: str, other_id: str, vector: str) -> DataFrame:
-    """Each row with the nearest of its group's other rows by L1 distance, each used once: greedy in order of ids.
-
-    Groups must be pages or the like, with few rows: a group is matched in one task.
+    ``keys`` name a page and what must be equal, such as width and height: a group is matched in one task. Distances
+    that tie go to the smaller id. Rows without a vector, or of another length, match nothing; null keys match none.
     """
 
     def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
 
-        a, b = a.sort_values(id_col), b.sort_values(other_id)
-        left = np.stack(b[vector].to_numpy()) if len(b) else np.zeros((0, 1))
-        free, out = np.ones(len(b), bool), []
+        a, b = a.sort_values(id_col), b[b[vector].notna()].sort_values(other_id)
+        free, out = {i: np.asarray(v, float) for i, v in zip(b[other_id], b[vector], strict=True)}, []
         for i, v in zip(a[id_col], a[vector], strict=True):
-            best = None
-            if free.any():
-                d = np.where(free, np.abs(left - np.asarray(v)).sum(1), np.inf)
-                best = int(d.argmin())
-                free[best] = False
-            out.append((i, None if best is None else int(b[other_id].iloc[best])))
+            near = [] if v is None else [(np.abs(x - np.asarray(v, float)).sum(), o) for o, x in free.items() if len(x) == len(v)]
+            best = min((n for n in near if n[0] == n[0]), default=(None, None))[1]
+            free.pop(best, None)
+            out.append((i, best))
         return pd.DataFrame(out, columns=[id_col, other_id]).astype({other_id: "Int64"})
 
-    return df.groupBy(key).cogroup(other.groupBy(key)).applyInPandas(match, f"{id_col} long, {other_id} long")
-
-
-def growing_regions(bands: DataFrame, keys: list[str], gap: float = 42.0, grow: float = 24.0, pad: float = 12.0) -> DataFrame:
-    """Table regions from row bands (top, bottom, left, right, columns): chains of multi-column bands over continuation
-    bands with small gaps, grown up and down by near bands inside their width, padded.
-
-    A region's box decides what joins it next, so a page's bands are walked in order, in batches of pages.
-    """
-
-    def page(rows: list[tuple]) -> list[tuple]:
-        regions, current = [], None
-        for top, bottom, left, right, columns in rows:
-            near = current is not None and top - current[3] <= gap
-            inside = current is not None and left >= current[0] - pad and right <= current[2] + pad
-            if columns >= 2 and near:
-                current = [min(current[0], left), current[1], max(current[2], right), bottom, current[4] + 1]
-            elif columns >= 2:
-                if current is not None:
-                    regions.append(current)
-                current = [left, top, right, bottom, 1]
-            elif near and inside and top - current[3] <= grow:
-                current[3] = bottom
-        if current is not None:
-            regions.append(current)
-        return [(i, r[0] - pad, r[1] - pad, r[2] + pad, r[3] + pad, r[4]) for i, r in enumerate(regions) if r[4] >= 2]
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("top")
-        got = page(list(f[["top", "bottom", "left", "right", "columns"]].itertuples(index=False, name=None)))
-        out = pd.DataFrame(got, columns=["region", "left", "top", "right", "bottom", "rows"])
-        for k in keys:
-            out[k] = f[k].iloc[0]
-        return out[[*keys, "region", "left", "top", "right", "bottom", "rows"]]
-
-    types = ", ".join(f"`{k}` {bands.schema[k].dataType.simpleString()}" for k in keys)
-    return bands.groupBy(*keys).applyInPandas(run, f"{types}, region int, left double, top double, right double, bottom double, rows int")
+    return df.groupBy(*keys).cogroup(other.groupBy(*keys)).applyInPandas(match, f"{id_col} long, {other_id} long")

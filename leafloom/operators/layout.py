@@ -6,6 +6,8 @@ Only the split into paragraphs carries state from line to line; it runs per page
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -54,7 +56,8 @@ def is_marker(c: Column) -> Column:
 
 
 def cleaned(lines: DataFrame) -> DataFrame:
-    """Lines without page labels, running headers at the top and stacked fragments at the right margin."""
+    """Lines without page labels, running headers at the top, stacked fragments at the right margin, and headings that a
+    page repeats at once."""
     t, top = F.col("text"), F.col("top")
     headers = rules.RUNNING_HEADERS + rules.LAYOUT_HEADERS
     header = F.lit(False)
@@ -62,7 +65,16 @@ def cleaned(lines: DataFrame) -> DataFrame:
         header = header | t.rlike(p)
     small = (top < 110) & (F.col("font_size") <= 9.5) & t.rlike(rules.STRUCTURAL_HEADING)
     out = lines.where(~(t.rlike(rules.PAGE_LABEL) | (top < 140) & (header | t.rlike(rules.FRAGMENT_HEADER) & ~t.rlike(r"^\d+$")) | small))
-    return margin_pruned(out)
+    return margin_pruned(top_pruned(out))
+
+
+def top_pruned(lines: DataFrame, first: int = 6, ahead: int = 3) -> DataFrame:
+    """Lines without the structural headings among a page's first ones that come again within the next few lines."""
+    order = ["top", "left", "block", "line"] if "block" in lines.columns else ["top", "left", "line"]
+    by = W.partitionBy(*PAGE).orderBy(*order)
+    again = reduce(lambda a, b: a | b, (F.coalesce(F.lead("text", k).over(by) == F.col("text"), F.lit(False)) for k in range(1, ahead + 1)))
+    marked = lines.withColumn("_again", (F.row_number().over(by) <= first) & F.col("text").rlike(rules.STRUCTURAL_HEADING) & again)
+    return marked.where("not _again").drop("_again")
 
 
 def margin_pruned(lines: DataFrame, width: float = WIDTH) -> DataFrame:

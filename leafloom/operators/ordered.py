@@ -65,8 +65,12 @@ def top_ranked(df: DataFrame, order: list[Column], n: int, into: str = "rank") -
     return df.orderBy(*order).limit(n).withColumn(into, F.row_number().over(W.orderBy(*order)).cast("long"))
 
 
-def ranked(df: DataFrame, order: list[Column], into: str = "rank", parts: int = 200) -> DataFrame:
-    """All rows numbered from 1 by an order without one task for all: ranges are counted, then rows within ranges."""
+def ranked(df: DataFrame, order: list[Column], into: str = "rank", parts: int | None = None) -> DataFrame:
+    """All rows numbered from 1 by an order without one task for all: ranges are counted, then rows within ranges.
+
+    There are as many ranges as the session shuffles to. Rows of equal order have any order among each other.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
     # written once: the ranges of a rerun could differ
     spread = written(spread)
@@ -77,12 +81,18 @@ def ranked(df: DataFrame, order: list[Column], into: str = "rank", parts: int =
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder, for plans that read it many times."""
+    """``df`` written once to the shared checkpoint folder, for plans that read it many times.
+
+    Where the session names no folder, one machine's runs use a temporary one; on a cluster that is an error.
+    """
     import tempfile
 
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leafloom-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local") or sc.master.startswith("local-cluster") and not named:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="leafloom-"))
     return df.checkpoint()
 
 
@@ -94,13 +104,14 @@ def batches(df: DataFrame, rank: str, size: int) -> DataFrame:
 def unique_slugs(df: DataFrame, key: str, order: str, base: str, longest: int = 80) -> DataFrame:
     """Slugs that no two rows of a group share, in order: the base, else the first free ``base-2``, ``base-3``, ….
 
-    A made slug can meet a later base, so the names in use are carried along a group's rows.
+    A made slug can meet a later base, so the names in use are carried along a group's rows. A null base counts as
+    ``entry``; rows of equal order are taken as they come. A group, such as a document's outline, is in one task.
     """
 
     def fold(f: pd.DataFrame) -> pd.DataFrame:
         used, following, out = set(), {}, []
         f = f.sort_values(order, kind="stable")
-        for name in f[base]:
+        for name in f[base].fillna("entry"):
             got, n = name, following.get(name, 2)
             while got in used:
                 tail = f"-{n}"

@@ -62,3 +62,31 @@ def queue(pages: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """Pages with a ``score`` and ``lane`` ranked: score, accuracy lane first, key; the first ``limit`` if given."""
     order = [F.desc("score"), F.when(F.col("lane") == "accuracy-critical", 0).otherwise(1), F.col(key)]
     return ordered.top_ranked(pages, order, limit) if limit else ordered.ranked(pages, order)
+
+
+def batch_summary(batched: DataFrame, key: str) -> DataFrame:
+    """Each batch with its number of pages, ranks, pages in order, and counts of lanes, layouts and flags.
+
+    ``batched`` has batch, rank, lane, layout, flags and the key; a batch has a fixed number of rows, so its lists are
+    short. ``counts`` is an array of (dimension, value, n), sorted.
+    """
+    one = lambda d, c: F.struct(F.lit(d).alias("dimension"), F.col(c).alias("value"))
+    every = F.concat(F.array(one("lane", "lane"), one("layout", "layout")), F.transform("flags", lambda f: F.struct(F.lit("flag").alias("dimension"), f.alias("value"))))
+    counts = batched.select("batch", F.explode(every).alias("d")).groupBy("batch", "d.dimension", "d.value").agg(F.count("*").alias("n")).groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("dimension", "value", "n"))).alias("counts"))
+    pages = F.transform(F.array_sort(F.collect_list(F.struct("rank", F.col(key).alias("key")))), lambda x: x["key"])
+    return batched.groupBy("batch").agg(F.count("*").alias("page_count"), F.concat_ws("-", F.min("rank"), F.max("rank")).alias("rank_range"), pages.alias("pages")).join(counts, "batch")
+
+
+def batch_report(rows: DataFrame, size: int) -> DataFrame:
+    """One row: the Markdown report of the first batches, a table of pages each; no rows give the head alone."""
+    cell = lambda c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("-"))
+    shown = ("rank", "page", "label", "layout", "score", "flag_summary", "chapter", "qa_path", "chapter_path")
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *(cell(c) for c in shown)), F.lit(" |"))
+    lane = lambda name: F.count_if(F.col("lane") == name).cast("string")
+    per = rows.groupBy("batch").agg(F.min("rank").alias("a"), F.max("rank").alias("z"), F.count("*").alias("n"), lane("accuracy-critical").alias("x"), lane("readability-critical").alias("y"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("l")))), lambda r: r["l"]), "\n").alias("body"))
+    said = lambda lead, *c: F.concat(F.lit(lead), *c)
+    block = F.concat_ws("\n", said("## Batch ", "batch"), F.lit(""), said("- rank range: ", "a", F.lit(" - "), "z"), said("- page count: ", "n"), said("- accuracy-critical: ", "x"), said("- readability-critical: ", "y"), F.lit(""), F.lit("| Rank | Page | Label | Layout | Score | Flags | Chapter | QA Path | Chapter Path |"), F.lit("| " + " | ".join(["---"] * len(shown)) + " |"), F.col("body"), F.lit(""))
+    made = per.select("batch", "n", block.alias("t"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("batch", "t"))), lambda r: r["t"]), "\n")
+    head = F.concat_ws("\n", F.lit("# First Review Batches"), F.lit(""), said("- top pages covered: ", F.coalesce(F.sum("n"), F.lit(0))), said("- batch count: ", F.count("*")), F.lit(f"- batch size: {size}"), F.lit(""))
+    return made.agg(F.concat_ws("\n", head, text).alias("markdown"))

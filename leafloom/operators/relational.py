@@ -81,10 +81,19 @@ def distinct_in_order(df: DataFrame, key: Column, value: str, order: str) -> Dat
 
 
 def content_assets(df: DataFrame, content: str, holder: str, order: Column, most_holders: int | None = None) -> DataFrame:
-    """Assets by the SHA-1 of their content: id, size of the first occurrence, distinct holders, occurrences, kept or not."""
+    """Assets by the SHA-1 of their content: id, size of the first occurrence, occurrences, number of distinct holders, the
+    first of them, and whether there are at most ``most_holders``.
+
+    Holders are counted by (asset, holder) first, so content that a large part of all holders share is in no one task,
+    and no list of holders is made. Null content is an asset of null hash; an empty table gives none.
+    """
     hashed = df.withColumn("hash", F.sha1(F.col(content).cast("binary")))
-    assets = hashed.groupBy("hash").agg(F.min_by(F.length(content), order).alias("n_chars"), F.array_sort(F.collect_set(holder)).alias("holders"), F.count("*").alias("occurrences"))
-    assets = assets.withColumn("asset_id", F.substring("hash", 1, 12)).withColumn("n_holders", F.size("holders").cast("long"))
-    if most_holders is not None:
-        assets = assets.withColumn("kept", F.col("n_holders") <= most_holders)
-    return assets
+    per = hashed.groupBy("hash", holder).agg(F.min(F.struct(order.alias("at"), F.length(content).alias("n_chars"))).alias("first"), F.count("*").alias("occurrences"))
+    assets = per.groupBy("hash").agg(F.min("first")["n_chars"].alias("n_chars"), F.sum("occurrences").alias("occurrences"), F.count(holder).alias("n_holders"), F.min(holder).alias("first_holder"))
+    kept = F.lit(True) if most_holders is None else F.col("n_holders") <= most_holders
+    return assets.withColumns({"asset_id": F.substring("hash", 1, 12), "kept": kept})
+
+
+def holders(df: DataFrame, content: str, holder: str) -> DataFrame:
+    """(hash, holder): each asset with each of its holders once."""
+    return df.select(F.sha1(F.col(content).cast("binary")).alias("hash"), holder).distinct()
\ No newline at end of file

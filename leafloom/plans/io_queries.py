@@ -2,15 +2,17 @@
 
 from pyspark.sql import functions as F
 
+from leafloom.operators import images
 from leafloom.plans.registry import query
-from leafloom.sources import tables
+from leafloom.sources import sinks, tables
 from leafloom.sources.tables import table
 
 
-@query("SELECT 40 AS scan_limit, 80 AS slug_limit, 12 AS repetitions")
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, 80 AS slug_limit, 12 AS repetitions FROM events")
 def s01_p07_settings(spark, sf_dir):
-    given = spark.createDataFrame([("40", None)], "scan_limit string, slug_limit string")
-    return tables.with_defaults(given, {"scan_limit": 30, "slug_limit": 80, "repetitions": 12})
+    """Settings as JSON objects, each default filled in where an object has no integer."""
+    given = table(spark, sf_dir, "events", "event_id", "props").select("event_id", F.from_json("props", "k string, slug_limit string").alias("p")).select("event_id", "p.*")
+    return tables.with_defaults(given, {"k": 30, "slug_limit": 80, "repetitions": 12})
 
 
 @query("SELECT d.doc_id, l.quality AS override FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id AND l.quality = 0")
@@ -37,3 +39,13 @@ def c02_maps(spark, sf_dir):
 @query("SELECT strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS built_at, count(*) AS n FROM events GROUP BY 1")
 def c04_utc_stamps(spark, sf_dir):
     return table(spark, sf_dir, "events", "ts").groupBy(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("built_at")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT doc_id, CASE WHEN n_chars >= 0 THEN 'ok' END AS checked, 'images/' || printf('%04d', doc_id) || '.jpg' AS raster FROM documents""")
+def k04_k08_rasters(spark, sf_dir):
+    """Every page's raster, drawn by a plug-in (here its name alone), of pages that meet a requirement."""
+    d = sinks.required(table(spark, sf_dir, "documents", "doc_id", "n_chars"), F.col("n_chars") >= 0, "a page without a size")
+    own = F.col("doc_id").cast("string").alias("doc_id")
+    files = d.select(own, F.lit("%PDF").cast("binary").alias("content"))
+    made = images.drawn(files, d.select(own, F.col("doc_id").cast("int").alias("page")), lambda data, page, width: data + str(page).encode())
+    return made.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit("ok").alias("checked"), F.concat(F.lit("images/"), "path").alias("raster"))

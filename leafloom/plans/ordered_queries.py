@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafloom.functions import text
+from leafloom.operators import export as E
 from leafloom.operators import ordered as O
 from leafloom.operators import relational as R
 from leafloom.plans.registry import query
@@ -72,11 +73,11 @@ def w11_navigation(spark, sf_dir):
     return O.navigation(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderkey").drop("o_custkey", "o_orderdate")
 
 
-@query("""SELECT s_suppkey, lpad(CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS VARCHAR), 3, '0') || '__' || lower(replace(s_name, '#', '-')) || '.md' AS file FROM supplier WHERE s_acctbal > 0""")
+@query("""SELECT s_suppkey, printf('%03d', row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey)) || '__' || lower(replace(s_name, '#', '-')) || '.md' AS file FROM supplier WHERE s_acctbal > 0""")
 def w12_file_numbers(spark, sf_dir):
     s = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal").where("s_acctbal > 0")
     n = F.row_number().over(W.partitionBy("s_nationkey").orderBy("s_suppkey"))
-    return s.select("s_suppkey", F.concat(F.lpad(n.cast("string"), 3, "0"), F.lit("__"), text.slug(F.col("s_name")), F.lit(".md")).alias("file"))
+    return s.select("s_suppkey", E.numbered(n, 3, text.slug(F.col("s_name"))).alias("file"))
 
 
 _SCORE = "CASE WHEN p_name = 'red' THEN 120 WHEN starts_with(p_name, 'red') THEN 90 WHEN contains(p_name, 'red') THEN 60 ELSE 0 END + CASE WHEN contains(p_type, 'STEEL') THEN 30 ELSE 0 END"
@@ -119,17 +120,6 @@ def t09_q06_catalog_order(spark, sf_dir):
     return c.select("conv_id", F.array_join(F.transform("c", lambda x: F.concat(x["turn"], x["role"])), ",").alias("catalog"))
 
 
-@query("""WITH p AS (SELECT conv_id, turn, role, min(turn) FILTER (WHERE contains(text, 'e')) OVER (PARTITION BY conv_id) AS first FROM conversations), r AS (SELECT *, sum(CASE WHEN role = 'assistant' AND turn > first THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS ended FROM p WHERE turn >= first)
-SELECT conv_id, turn FROM r WHERE ended = 0""")
-def p03_toc_pages(spark, sf_dir):
-    """The first page with the marker and those behind it while their kind stays."""
-    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    first = F.min(F.when(F.contains("text", F.lit("e")), F.col("turn"))).over(W.partitionBy("conv_id"))
-    c = c.withColumn("first", first).where(F.col("turn") >= F.col("first"))
-    ended = F.sum(F.when((F.col("role") == "assistant") & (F.col("turn") > F.col("first")), 1).otherwise(0)).over(W.partitionBy("conv_id").orderBy("turn").rowsBetween(W.unboundedPreceding, 0))
-    return c.withColumn("ended", ended).where("ended = 0").select("conv_id", "turn")
-
-
 @query("""WITH n AS (SELECT r_regionkey AS r, CAST(-1 AS INT) AS n, CAST(-1 AS BIGINT) AS s, 1 AS level, r_name AS title FROM region UNION ALL SELECT n_regionkey, n_nationkey, -1, 2, n_name FROM nation UNION ALL SELECT n_regionkey, n_nationkey, s_suppkey, 3, s_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)
 SELECT r AS doc, row_number() OVER (PARTITION BY r ORDER BY n, s) AS index, level, title FROM n""")
 def s05_outline(spark, sf_dir):
@@ -158,5 +148,5 @@ SELECT h[1:12] AS id, first AS first_page, n AS pages, row_number() OVER (PARTIT
 def m06_t07_manifest(spark, sf_dir):
     """The manifest of assets that are not too small and not repeated on too many pages, in order of first page and id."""
     l = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") >= 20)
-    a = R.content_assets(l, "line", "doc_id", F.col("doc_id"), 12).where("kept").withColumn("first_page", F.array_min("holders"))
+    a = R.content_assets(l, "line", "doc_id", F.col("doc_id"), 12).where("kept").withColumnRenamed("first_holder", "first_page")
     return a.select(F.col("asset_id").alias("id"), "first_page", F.col("n_holders").alias("pages"), F.row_number().over(W.partitionBy("first_page").orderBy("hash")).cast("long").alias("position"))

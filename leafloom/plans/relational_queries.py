@@ -45,8 +45,7 @@ def j04_overlap_count(spark, sf_dir):
 p AS (SELECT h, unnest(docs) AS doc_id FROM a) SELECT doc_id, count(*) AS assets, min(h) AS first_asset FROM p GROUP BY 1""")
 def j05_assets_per_page(spark, sf_dir):
     lines = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
-    assets = R.content_assets(lines, "line", "doc_id", F.col("doc_id"))
-    return assets.select("hash", F.explode("holders").alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("assets"), F.min("hash").alias("first_asset"))
+    return R.holders(lines, "line", "doc_id").groupBy("doc_id").agg(F.count("*").alias("assets"), F.min("hash").alias("first_asset"))
 
 
 @query("""WITH s AS (SELECT user_id, event_type, CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS b FROM events GROUP BY 1, 2), p AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
@@ -104,27 +103,15 @@ def j14_j15_mandatory_join(spark, sf_dir):
     return c.join(o, F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey", named.alias("n_name"), F.coalesce("n", F.lit(0)).alias("orders"))
 
 
-@query("""WITH c AS (SELECT b.item_id, d.doc_id, CASE WHEN d.text = b.text THEN 1 WHEN contains(d.text, b.text) THEN 2 END AS how FROM benchmark b JOIN documents d ON contains(d.text, b.text))
-SELECT b.item_id, min(c.how) AS how, min(c.doc_id) AS doc_id, count(c.doc_id) AS hits FROM benchmark b LEFT JOIN c USING (item_id) GROUP BY 1""")
-def j14_key_cascade(spark, sf_dir):
-    b = table(spark, sf_dir, "benchmark", "item_id", "text").withColumnRenamed("text", "needle")
-    if b.count() > 100_000:  # only a small query set is broadcast; a larger one would be searched by its words
-        raise ValueError("more benchmark items than a broadcast search takes")
-    d = table(spark, sf_dir, "documents", "doc_id", "text")
-    hit = d.join(F.broadcast(b), F.contains(F.col("text"), F.col("needle"))).select("item_id", "doc_id", F.when(F.col("text") == F.col("needle"), 1).otherwise(2).alias("how"))
-    per = hit.groupBy("item_id").agg(F.min("how").alias("how"), F.min("doc_id").alias("doc_id"), F.count("*").alias("hits"))
-    return b.select("item_id").join(per, "item_id", "left").select("item_id", "how", "doc_id", F.coalesce("hits", F.lit(0)).alias("hits"))
-
-
 @query("""WITH t AS (SELECT conv_id, turn, list_distinct(regexp_extract_all(text, '[0-9A-Za-z]+')) AS words FROM conversations),
 r AS (SELECT a.conv_id, a.turn, min(b.turn) AS first_region FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn > a.turn AND list_has_any(a.words, b.words) GROUP BY 1, 2)
 SELECT t.conv_id, t.turn, r.first_region FROM t LEFT JOIN r USING (conv_id, turn)""")
 def j13_overlapping_sets(spark, sf_dir):
     t = table(spark, sf_dir, "conversations", "conv_id", "turn", "text").select("conv_id", "turn", F.array_distinct(text.tokens(F.col("text"), "[0-9A-Za-z]+")).alias("words"))
-    # an equi-join on the shared word: no pair without one is made
+    # the next turn with each of a turn's words: a window by word, so that no pairs of turns are made
     w = t.select("conv_id", "turn", F.explode("words").alias("word"))
-    other = w.select("conv_id", F.col("turn").alias("region"), "word")
-    first = w.join(other, ["conv_id", "word"]).where("region > turn").groupBy("conv_id", "turn").agg(F.min("region").alias("first_region"))
+    after = w.withColumn("region", F.lead("turn").over(W.partitionBy("conv_id", "word").orderBy("turn")))
+    first = after.groupBy("conv_id", "turn").agg(F.min("region").alias("first_region"))
     return t.select("conv_id", "turn").join(first, ["conv_id", "turn"], "left")
 
 
@@ -182,12 +169,13 @@ def a02_a04_counters(spark, sf_dir):
 
 
 @query("""WITH f AS (SELECT doc_id, unnest(list_filter([CASE WHEN n_chars >= 5000 THEN 'oversize' END, CASE WHEN regexp_matches(text, '[0-9]{3,}') THEN 'digit-run' END], lambda x: x IS NOT NULL)) AS flag FROM documents)
-SELECT flag, count(*) AS n, string_agg(doc_id, ',' ORDER BY doc_id) AS pages FROM f GROUP BY 1""")
+SELECT flag, doc_id // 100 AS block, count(*) AS n, string_agg(doc_id, ',' ORDER BY doc_id) AS pages FROM f GROUP BY 1, 2""")
 def a03_flag_pages(spark, sf_dir):
+    """The pages of each flag, a row for each hundred of them, so that no list grows with the table."""
     d = table(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
     flags = F.array_compact(F.array(F.when(F.col("n_chars") >= 5000, "oversize"), F.when(F.col("text").rlike("[0-9]{3,}"), "digit-run")))
-    f = d.select("doc_id", F.explode(flags).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("doc_id")).alias("p"))
-    return f.select("flag", "n", F.array_join(F.col("p").cast("array<string>"), ",").alias("pages"))
+    f = d.select("doc_id", F.explode(flags).alias("flag")).groupBy("flag", F.floor(F.col("doc_id") / 100).alias("block")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list("doc_id")).alias("p"))
+    return f.select("flag", "block", "n", F.array_join(F.col("p").cast("array<string>"), ",").alias("pages"))
 
 
 @query("""WITH c AS (SELECT unnest(list_filter([CASE WHEN contains(text, ' | ') THEN 'table' END, CASE WHEN contains(text, '@') THEN 'contact' END, CASE WHEN contains(text, 'License') THEN 'license' END], lambda x: x IS NOT NULL)) AS category FROM documents) SELECT category, count(*) AS n FROM c GROUP BY 1""")

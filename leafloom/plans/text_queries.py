@@ -3,6 +3,10 @@
 from pyspark.sql import functions as F
 
 from leafloom.functions import rules, text
+from leafloom.operators import bundle as B
+from leafloom.operators import images as I
+from leafloom.operators import reader as Q
+from leafloom.operators import toc as T
 from leafloom.plans.registry import query
 from leafloom.sources.tables import table
 
@@ -38,27 +42,28 @@ def s03_s04_page_blocks(spark, sf_dir):
     return d.select("doc_id", count(F.split("text", "\n\n"), lambda x: F.trim(x) != "").alias("n_blocks"), count(ls, lambda x: F.contains(x, F.lit(" | "))).alias("table_lines"), count(ls, lambda x: F.trim(x) != "").alias("text_lines"))
 
 
-@query("""WITH d AS (SELECT doc_id, n_chars, len(string_split(text, chr(10))) AS n_lines FROM documents)
-SELECT doc_id, n_chars <= 40 AND n_lines >= 2 AS decorative, (n_chars <= 40 AND n_lines >= 2) OR doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) AS skipped FROM d""")
+@query("""WITH d AS (SELECT doc_id, n_chars, doc_id % 5 AS images FROM documents)
+SELECT doc_id, n_chars <= 400 AND images >= 2 AS decorative, (n_chars <= 400 AND images >= 2) OR doc_id <= 3 OR doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) AS skipped FROM d""")
 def p04_p05_page_skips(spark, sf_dir):
-    d = table(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
-    low = table(spark, sf_dir, "labels", "doc_id", "quality").where("quality = 0").select("doc_id", F.lit(True).alias("low")).distinct()
-    decorative = (F.col("n_chars") <= 40) & (F.size(F.split("text", "\n")) >= 2)
-    return d.join(low, "doc_id", "left").select("doc_id", decorative.alias("decorative"), (decorative | F.coalesce("low", F.lit(False))).alias("skipped"))
+    contents = table(spark, sf_dir, "labels", "doc_id", "quality").where("quality = 0").select("doc_id")
+    d = table(spark, sf_dir, "documents", "doc_id", "n_chars").withColumn("images", F.col("doc_id") % 5)
+    return I.skipped(d, "doc_id", contents, (0, 1, 2, 3), I.decorative(F.col("n_chars"), F.col("images"), 400)).select("doc_id", "decorative", "skipped")
 
 
-@query("SELECT p_partkey, p_size, p_size < 20 AS small, greatest(p_size, 20) AS at_least, coalesce(nullif(p_size % 7, 0), 12) AS repetitions FROM part")
+@query("SELECT p_partkey, p_size, p_size < 20 OR p_partkey % 60 < 20 AS small, greatest(p_size, 20) AS at_least, coalesce(nullif(p_size % 7, 0), 12) AS repetitions FROM part")
 def p06_p07_small_images(spark, sf_dir):
     p = table(spark, sf_dir, "part", "p_partkey", "p_size")
-    return p.select("p_partkey", "p_size", (F.col("p_size") < 20).alias("small"), F.greatest("p_size", F.lit(20)).alias("at_least"), F.coalesce(F.nullif(F.col("p_size") % 7, F.lit(0)), F.lit(12)).alias("repetitions"))
+    return p.select("p_partkey", "p_size", I.too_small(F.col("p_size"), F.col("p_partkey") % 60).alias("small"), F.greatest("p_size", F.lit(20)).alias("at_least"), F.coalesce(F.nullif(F.col("p_size") % 7, F.lit(0)), F.lit(12)).alias("repetitions"))
 
 
 @query("""WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1) AS path FROM pages)
-SELECT page_id, host, coalesce(nullif(path, ''), nullif(host, '')) AS slug, starts_with(path, 'en') AS leaks FROM p""")
+SELECT page_id, host, coalesce(nullif(path, ''), nullif(host, '')) AS slug, page_id % 3 < 2 AS leaks FROM p""")
 def p09_p10_reduced_rows(spark, sf_dir):
     p = table(spark, sf_dir, "pages", "page_id", "url")
     host, path = F.regexp_extract("url", "^[a-z]+://([^/]+)", 1), F.regexp_extract("url", "^[a-z]+://[^/]+/([^?#]*)", 1)
-    return p.select("page_id", host.alias("host"), F.coalesce(F.nullif(path, F.lit("")), F.nullif(host, F.lit(""))).alias("slug"), F.startswith(path, F.lit("en")).alias("leaks"))
+    way = F.col("page_id") % 3
+    said = F.concat(F.when(way == 0, " 목\n차 ").when(way == 1, "목차").otherwise("the 목차 "), host)
+    return p.select("page_id", host.alias("host"), B.slug_of(path, host).alias("slug"), T.opens_contents(said).alias("leaks"))
 
 
 @query("""SELECT 'empty-text' AS rule, CAST(doc_id AS BIGINT) AS key FROM documents WHERE trim(text) = ''
@@ -100,13 +105,18 @@ def x07_x10_repair(spark, sf_dir):
     broken = F.col("text")
     for a, b in ((" the ", " th e "), (" of ", " o f "), (" and ", " an d ")):
         broken = F.replace(broken, F.lit(a), F.lit(b))
-    return d.select("doc_id", text.repair(broken, ((r"th\s+e\b", "the"), (r"o\s+f\b", "of"), (r"an\s+d\b", "and")), 2).alias("repaired"))
+    return d.select("doc_id", text.repair(broken, ((r"th\s+e\b", "the"), (r"o\s+f\b", "of"), (r"an\s+d\b", "and"))).alias("repaired"))
 
 
-@query("""SELECT * FROM (VALUES (1, '특허심판'), (2, '심판청구인은'), (3, '그 사건'), (4, '민법§12'), (5, '권리자 및 대리인')) t(id, joined)""")
+_PAIRS = (("특허", "심판", "특허심판"), ("심판청구", "인은", "심판청구인은"), ("그", "사건", "그 사건"), ("민법", "§12", "민법§12"), ("권리자 및", "대리인", "권리자 및 대리인"), ("것으", "로", "것으로"), ("행정", "심판", "행정심판"))
+
+
+@query(f"""SELECT p_partkey, CASE p_partkey % {len(_PAIRS)} {' '.join(f"WHEN {i} THEN '{j}'" for i, (_, _, j) in enumerate(_PAIRS))} END || ' ' || p_name AS joined, p_partkey % {len(_PAIRS)} IN (1, 5) AS residue FROM part""")
 def x08_x09_line_joins(spark, sf_dir):
-    rows = [(1, ["특허", "심판"]), (2, ["심판", "청구인", "은"]), (3, ["그", "사건"]), (4, ["민법", "§12"]), (5, ["권리자 및", "대리인"])]
-    return spark.createDataFrame(rows, "id int, segments array<string>").select("id", text.join_segments(F.col("segments")).alias("joined"))
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name")
+    pairs = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b, _ in _PAIRS))
+    p = p.withColumn("s", F.get(pairs, (F.col("p_partkey") % len(_PAIRS)).cast("int")))
+    return p.select("p_partkey", text.join_segments(F.array("s.a", F.lit(None), "s.b", F.lit(" "), "p_name")).alias("joined"), text.residue_pair(F.col("s.a"), F.col("s.b")).alias("residue"))
 
 
 @query("""WITH n AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS x FROM documents)
@@ -116,9 +126,9 @@ def x12_excerpts(spark, sf_dir):
     return d.select("doc_id", text.excerpt(F.col("x")).alias("excerpt"), text.excerpt(F.col("x"), 220).alias("summary"))
 
 
-@query("""WITH n AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS x FROM documents), h AS (SELECT *, x[1:120] AS head FROM n),
-s AS (SELECT *, regexp_extract(head, '^(.*?[.!?])(?:\\s|$)', 1) AS sentence, instr(reverse(head), ' ') AS back FROM h)
-SELECT doc_id, CASE WHEN length(x) <= 120 THEN x WHEN sentence <> '' THEN sentence ELSE rtrim(CASE WHEN back > 0 AND length(head) - back >= 72 THEN head[1:length(head) - back] ELSE head END) || '…' END AS compact FROM s""")
+@query("""WITH n AS (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[·․]+', ' ', 'g'), '\\s+', ' ', 'g')) AS x FROM documents), h AS (SELECT *, x[1:120] AS head FROM n),
+s AS (SELECT *, length(regexp_extract(x, '^(.*?)(?:[.!?]\\s|[다요]\\.\\s)', 1)) AS ahead, instr(reverse(head), ' ') AS back FROM h)
+SELECT doc_id, CASE WHEN length(x) <= 120 THEN x WHEN ahead > 0 AND ahead < 120 THEN x[1:ahead + 1] ELSE rtrim(CASE WHEN back > 0 AND length(head) - back >= 72 THEN head[1:length(head) - back] ELSE head END) || '…' END AS compact FROM s""")
 def x13_compact(spark, sf_dir):
     return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", text.compact(F.col("text")).alias("compact"))
 
@@ -141,19 +151,12 @@ def x16_split_labels(spark, sf_dir):
     return table(spark, sf_dir, "customer", "c_custkey", "c_name").select("c_custkey", label.alias("label"), rest.alias("rest"))
 
 
-@query("""WITH p AS (SELECT page_id, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h1 FROM pages) SELECT page_id, length(h1) AS title_chars, 'tail' AS trimmed FROM p""")
+@query("""WITH p AS (SELECT page_id, trim(regexp_replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '\\s+', ' ', 'g')) AS h, regexp_extract(html, '<p>([^<]+)</p>', 1) AS t FROM pages) SELECT page_id, t AS trimmed FROM p WHERE h <> '' AND t <> '' AND NOT starts_with(replace(t, ' ', ''), replace(h, ' ', '')) AND trim(t) = t""")
 def x17_heading_trim(spark, sf_dir):
-    p = table(spark, sf_dir, "pages", "page_id", "html").withColumn("h1", F.regexp_extract("html", "<h1>([^<]*)</h1>", 1))
-    twice = F.concat_ws(" ㆍ ", "h1", "h1", F.lit("tail"))
-    return p.select("page_id", F.length("h1").cast("long").alias("title_chars"), F.regexp_replace(text.trim_headings(twice, F.array("h1")), r"^[\sㆍ]+", "").alias("trimmed"))
-
-
-@query("""SELECT page_id, length(regexp_replace(html, '(</h1>\\s*)<p>', '\\1<p class="lead">')) AS n_chars, contains(html, '<table') AS has_table FROM pages""")
-def x18_reader_html(spark, sf_dir):
-    p = table(spark, sf_dir, "pages", "page_id", "html")
-    # the first paragraph behind the heading only
-    first = F.when(F.col("html").rlike(r"</h1>\s*<p>"), F.length("html") + F.length(F.lit(' class="lead"'))).otherwise(F.length("html"))
-    return p.select("page_id", first.cast("long").alias("n_chars"), F.contains("html", F.lit("<table")).alias("has_table"))
+    """Paragraphs behind their heading, which is repeated with other separators; those that begin with it anyway are the tests'."""
+    p = table(spark, sf_dir, "pages", "page_id", "html").select("page_id", text.normalize(F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)).alias("h"), F.regexp_extract("html", "<p>([^<]+)</p>", 1).alias("t"))
+    p = p.where((F.col("h") != "") & (F.col("t") != "") & ~F.startswith(F.replace("t", F.lit(" ")), F.replace("h", F.lit(" "))) & (F.trim("t") == F.col("t")))
+    return p.select("page_id", text.trim_headings(F.concat_ws(" ", "h", F.replace("h", F.lit(" "), F.lit("ㆍ")), F.replace("h", F.lit(" "), F.lit("  ")), "t"), F.array(F.lit("unlike"), F.col("h"))).alias("trimmed"))
 
 
 _CLASSES = (("insult", ("disgusting", "pathetic", "clown")), ("license", ("Licensed", "License")), ("contact", ("@", "+1 (")), ("table", (" | ",)))
@@ -199,10 +202,14 @@ def x25_line_tests(spark, sf_dir):
     return d.groupBy("doc_id").agg(F.count("*").alias("lines"), hits(rules.LIST_MARKER).alias("markers"), hits(rules.SENTENCE_END).alias("ended"), hits(rules.LEADER_DOTS).alias("leaders"), hits("[0-9]$").alias("numbered"))
 
 
-@query("""SELECT event_id, CASE event_type WHEN 'click' THEN 'Click' WHEN 'view' THEN 'View' ELSE event_type END AS label, strftime(ts, '%Y-%m-%d') AS day FROM events""")
+@query("""SELECT event_id, CASE event_type WHEN 'click' THEN '절차' WHEN 'view' THEN '사례·예시' ELSE event_type END AS label,
+CASE WHEN event_id % 10 = 0 THEN '미상' WHEN event_id % 10 = 1 THEN 'no time' ELSE strftime(ts, '%Y. ') || month(ts) || '. ' || day(ts) || '. ' || CASE WHEN hour(ts) < 12 THEN '오전 ' ELSE '오후 ' END || CASE WHEN hour(ts) % 12 = 0 THEN 12 ELSE hour(ts) % 12 END || strftime(ts, ':%M') END AS said FROM events""")
 def x26_labels_dates(spark, sf_dir):
     e = table(spark, sf_dir, "events", "event_id", "event_type", "ts")
-    return e.select("event_id", text.display(F.col("event_type"), {"click": "Click", "view": "View"}).alias("label"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    code = F.when(F.col("event_type") == "click", "procedure").when(F.col("event_type") == "view", "case").otherwise(F.col("event_type"))
+    way = F.col("event_id") % 10
+    stamp = F.when(way == 0, F.lit(None)).when(way == 1, "no time").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return e.select("event_id", text.display(code, rules.CATEGORY_LABELS).alias("label"), Q.date_label(stamp).alias("said"))
 
 
 @query(f"""SELECT doc_id, array_to_string(({_LINES})[1:12], chr(10)) AS top FROM documents""")
@@ -210,10 +217,12 @@ def t06_first_lines(spark, sf_dir):
     return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.array_join(text.first_lines(F.col("text")), "\n").alias("top"))
 
 
-@query("""SELECT event_id, props AS encoded, len(json_keys(props)) AS n_keys FROM events""")
+@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '{"event_type":"' || event_type || '","props":{"k":' || CAST(json_extract(props, '$.k') AS BIGINT) || ',"note":null},"text":"새"}' AS encoded FROM events""")
 def c03_json_columns(spark, sf_dir):
-    e = table(spark, sf_dir, "events", "event_id", "props")
-    return e.select("event_id", F.col("props").alias("encoded"), F.size(F.json_object_keys("props")).cast("long").alias("n_keys"))
+    """Nested rows as JSON with nulls kept and no escapes, and what JSON text holds as columns."""
+    e = table(spark, sf_dir, "events", "event_id", "event_type", "props")
+    e = e.withColumn("props", F.from_json("props", "k bigint, note string"))
+    return e.select("event_id", "props.k", text.encoded(F.struct("event_type", "props", F.lit("새").alias("text"))).alias("encoded"))
 
 
 @query("""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(text), '\\s+'), lambda x: x <> '') AS w FROM documents)

@@ -13,6 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def artifact(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """An intermediate table of an earlier step; a missing one is an error that names it."""
+    path = f"{folder}/{name}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        raise FileNotFoundError(f"{name} is missing in {folder}: run the step that makes it first")
+    return spark.read.json(path) if name.endswith(".json") else spark.read.parquet(path)
+
+
 def config(spark: SparkSession, path: str, defaults: dict[str, int]) -> DataFrame:
     """One row of settings from a JSON object, each default filled in where the file has no integer."""
     read = spark.read.option("multiLine", True).json(path)

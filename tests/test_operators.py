@@ -137,29 +137,13 @@ def test_all_flags_in_order(spark):
     assert got == ["multi-section-page", "low-confidence", "has-override", "page-merge", "boxed-heading", "angle-heading", "korean-linebreak-residue", "missing-table-crop", "structural-fragment-paragraph"]
 
 
-def test_markdown_and_tables(spark):
-    page_html = '<article><h1>Top</h1><h2>Same</h2><h3>Sub &amp; more</h3><p>Text <b>bold</b></p><img src="x" alt="pic"></article>'
-    got = spark.range(1).select(assembly.markdown(F.lit(page_html), F.lit("Same"), 2).alias("m")).first().m
-    assert got == "## Top\n\n#### Sub & more\n\nText bold\n\n[이미지 생략: pic]"
-    cells = F.array(F.array(F.lit("구분"), F.lit("값")), F.array(F.lit("AB"), F.lit("<x>")), F.array(F.lit("12")))
-    got = spark.range(1).select(assembly.table_html(cells).alias("t")).first().t
-    assert got == "<table><tr><th>구분</th><th>값</th></tr><tr><td>AB</td><td>&lt;x&gt;</td></tr><tr><td>12</td><td></td></tr></table>"
-
-
 def test_nearest_unused_is_greedy(spark):
     a = spark.createDataFrame([("p", 1, [0.0]), ("p", 2, [0.1]), ("p", 3, [9.0])], "page string, vec_id long, v array<double>")
     b = spark.createDataFrame([("p", 10, [0.2]), ("p", 11, [5.0])], "page string, other_id long, v array<double>")
-    got = assembly.nearest_unused(a, b, "page", "vec_id", "other_id", "v").collect()
+    got = assembly.nearest_unused(a, b, ["page"], "vec_id", "other_id", "v").collect()
     assert sorted((r.vec_id, r.other_id) for r in got if r.other_id) == [(1, 10), (2, 11)]
 
 
-def test_regions_chain_and_grow(spark):
-    bands = [(1, 0.0, 10.0, 70.0, 200.0, 3), (1, 20.0, 30.0, 70.0, 300.0, 2), (1, 35.0, 45.0, 75.0, 150.0, 1), (1, 200.0, 210.0, 70.0, 400.0, 4), (2, 0.0, 10.0, 70.0, 200.0, 2)]
-    df = spark.createDataFrame(bands, "page int, top double, bottom double, left double, right double, columns int")
-    got = assembly.growing_regions(df, ["page"]).collect()
-    assert [(r.page, r.top, r.bottom, r.left, r.right, r.rows) for r in got] == [(1, -12.0, 57.0, 58.0, 312.0, 2)]
-
-
 def test_sinks_and_sources(spark, tmp_path):
     df = spark.createDataFrame([("a", "x  \n"), ("b", None)], "k string, t string")
     out = sinks.write_bundle(str(tmp_path / "b"), {"rows.json": df, "text.md": df.select("t")})
