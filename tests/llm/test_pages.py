@@ -191,3 +191,68 @@ def test_wrappers_that_tell_of_furniture_are_no_furniture():
     for name in ("content has-sidebar", "no-sidebar", "post with-comments", "without-ads"):
         got = html_text.extract(f'<body><div class="{name}"><p>{text}</p></div><div class="sidebar">Side words</div></body>')
         assert got == text.strip(), name
+
+
+def test_payloads_are_freed_of_codings_and_read_in_their_charset(spark):
+    import gzip
+    import zlib
+
+    page = "<title>é</title><p>ä ö</p>"
+    raw, packed = page.encode("latin-1"), gzip.compress(page.encode())
+    chunks = b"5\r\n" + page.encode()[:5] + b"\r\n" + f"{len(page.encode()) - 5:x}".encode() + b";x\r\n" + page.encode()[5:] + b"\r\n0\r\n\r\n"
+    head = lambda *f: "\r\n".join(["HTTP/1.1 200 OK", *f, "", ""])
+    rows = [
+        ("1", head("Content-Type: text/html; charset=ISO-8859-1"), raw, "iso8859-1"), ("2", head("content-encoding:gzip"), packed, "utf-8"), ("3", head("Transfer-Encoding: chunked"), chunks, "utf-8"),
+        ("4", None, b"<meta charset='latin-1'>" + raw, "iso8859-1"), ("5", head("Content-Type: text/html; charset=nonsense"), page.encode(), "utf-8"), ("6", head("Content-Encoding: deflate"), zlib.compress(page.encode()), "utf-8"),
+        ("7", head("no colon here", "Content-Encoding: gzip"), page.encode(), "utf-8"),
+    ]
+    df = spark.createDataFrame([(i, None, None, h, None, bytearray(p)) for i, h, p, _ in rows], warc.RESPONSE)
+    got = warc.derive(df).collect()
+    for i, _, _, name in rows:
+        both = {r.record_type: r for r in got if r.refers_to == i}
+        assert both["conversion"].block == "ä ö" and f"charset: {name}\r\n" in both["metadata"].block and "title: é" in both["metadata"].block
+        assert (both["conversion"].date, both["conversion"].target_uri) == (None, "")
+    nothing = warc.derive(spark.createDataFrame([(None, None, None, None, None, None)], warc.RESPONSE)).collect()
+    assert sorted((r.record_type, r.block) for r in nothing)[0] == ("conversion", "") and len({r.record_id for r in nothing}) == 2
+
+
+def test_an_independent_reading_of_the_conversion(spark, sf):
+    """All visible text of the pages, by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Reading(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.out, self.off = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.off += tag in ("script", "style", "title")
+            if tag not in ("a", "b"):
+                self.out.append(" ")
+
+        def handle_endtag(self, tag):
+            self.off -= tag in ("script", "style", "title")
+            if tag not in ("a", "b"):
+                self.out.append(" ")
+
+        def handle_data(self, data):
+            if not self.off:
+                self.out.append(data)
+
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    for r in warc.op4_warc_derivatives(spark, sf).where("record_type = 'conversion'").collect():
+        reading = Reading()
+        reading.feed(pages[r.page_id])
+        assert r.block.split() == "".join(reading.out).split()
+
+
+def test_broken_records_are_passed_over(tmp_path, spark):
+    good = warc.serialize_response({"http_headers": "HTTP/1.1 200 OK\r\n\r\n", "payload": b"x", "record_id": "a", "target_uri": "u", "date": "d", "payload_digest": "p"})
+    loose = good.replace(b"Content-Length: ", b"content-length:").replace(b"WARC-Type: ", b"warc-type:")
+    lost = good.replace(b"Content-Length: ", b"X-Length: ")
+    assert [len(b) for _, b in warc.parse_records(good + loose + lost + good + good[:60])] == [20, 20, 20]
+    (tmp_path / "a.warc").write_bytes(lost + loose)
+    (tmp_path / "b.warc").write_bytes(b"no record")
+    assert [r.payload for r in warc.read_responses(spark, str(tmp_path)).collect()] == [b"x"]
+    with pytest.raises(ValueError):
+        list(warc.parse_records(b"no record"))
