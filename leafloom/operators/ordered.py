@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 
 def islands(df: DataFrame, keys: list[str], order: list[str], breaks: Column, into: str = "island") -> DataFrame:
-    """Numbers the runs of each group from 1; a row with ``breaks`` opens one."""
+    """Numbers the runs of each group from 1; a row with ``breaks`` opens one.
+
+    A null test opens none; null keys are a group; rows that tie in the order are numbered in either order; an empty
+    table stays empty.
+    """
     by = W.partitionBy(*keys).orderBy(*order)
     flag = F.when(F.row_number().over(by) == 1, 1).otherwise(F.coalesce(breaks.cast("int"), F.lit(0)))
     return df.withColumn("_break", flag).withColumn(into, F.sum("_break").over(by.rowsBetween(W.unboundedPreceding, 0))).drop("_break")
@@ -24,7 +28,10 @@ def longest_run(df: DataFrame, keys: list[str], order: list[str], value: str) ->
 
 
 def bands(df: DataFrame, keys: list[str], start: str, end: str, slack: float, order: list[str]) -> DataFrame:
-    """Numbers the bands of overlapping intervals: a row that starts beyond all ends so far and the slack opens one."""
+    """Numbers the bands of overlapping intervals: a row that starts beyond all ends so far and the slack opens one.
+
+    A null start stays in the band before it, a null end reaches nowhere; ties as in ``islands``.
+    """
     by = W.partitionBy(*keys).orderBy(*order)
     reach = F.max(end).over(by.rowsBetween(W.unboundedPreceding, -1))
     marked = df.withColumn("_beyond", F.col(start) > reach + slack)
@@ -32,14 +39,17 @@ def bands(df: DataFrame, keys: list[str], start: str, end: str, slack: float, or
 
 
 def clusters(df: DataFrame, keys: list[str], value: str, gap: float, order: list[str]) -> DataFrame:
-    """Numbers the clusters of sorted values: a gap to the one before of more than ``gap`` opens one."""
+    """Numbers the clusters of sorted values: a gap to the one before of more than ``gap`` opens one.
+
+    Next to a null value there is no gap; equal values share a cluster; ties as in ``islands``.
+    """
     by = W.partitionBy(*keys).orderBy(*order)
     marked = df.withColumn("_gap", F.col(value) - F.lag(value).over(by))
     return islands(marked, keys, order, F.col("_gap") > gap, "cluster").drop("_gap")
 
 
 def carry_forward(df: DataFrame, keys: list[str], order: str, marker: Column, default, into: str = "bucket") -> DataFrame:
-    """The last marker at or before each row of its group, else the default."""
+    """The last marker at or before each row of its group, else the default; null markers are none."""
     by = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     return df.withColumn(into, F.coalesce(F.last(marker, ignorenulls=True).over(by), F.lit(default)))
 

@@ -18,7 +18,7 @@ def first_wins(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
 
 
 def interval_points(df: DataFrame, start: str, end: str, point: str) -> DataFrame:
-    """A row for each point of each closed interval; none where the end is before the start."""
+    """A row for each point of each closed interval; none where the end is before the start or either is null."""
     return df.where(F.col(start) <= F.col(end)).withColumn(point, F.explode(F.sequence(start, end)))
 
 
@@ -30,7 +30,11 @@ def stabbing_best(points: DataFrame, intervals: DataFrame, keys: list[str], poin
 
 
 def parent_by_level(df: DataFrame, keys: list[str], order: str, level: str, levels: int, into: str = "parent") -> DataFrame:
-    """The nearest earlier row of a smaller level: for each level the last one before, and the latest of those below."""
+    """The nearest earlier row of a smaller level: for each level the last one before, and the latest of those below.
+
+    Null for rows of the first level and of no level; levels beyond ``levels`` are no parents; rows that tie in the order
+    are not before each other in any fixed way, so the order should be unique in a group.
+    """
     before = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     last = [F.max(F.when(F.col(level) == k, F.col(order))).over(before) for k in range(1, levels)]
     marks = [F.when(F.col(level) > k, x) for k, x in enumerate(last, 1)]
@@ -38,7 +42,10 @@ def parent_by_level(df: DataFrame, keys: list[str], order: str, level: str, leve
 
 
 def range_by_level(df: DataFrame, keys: list[str], order: str, level: str, levels: int, start: str, last: Column, into: str = "range_end") -> DataFrame:
-    """Where a row's range ends: before the start of the next row of no deeper level, else at ``last``; not before its start."""
+    """Where a row's range ends: before the start of the next row of no deeper level, else at ``last``; not before its start.
+
+    A row of no level ends at ``last``; a null start has a null end where nothing follows; the order should be unique.
+    """
     after = W.partitionBy(*keys).orderBy(order).rowsBetween(1, W.unboundedFollowing)
     nxt = [F.min(F.when(F.col(level) == k, F.struct(order, start))).over(after) for k in range(1, levels + 1)]
     marks = [F.when(F.col(level) >= k, x) for k, x in enumerate(nxt, 1)]
