@@ -422,13 +422,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, tas
 def keep_one(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one with the smallest doc_id.
 
-    Rows that repeat a kept doc_id stay one row, the one with the smallest text, among equal texts the one whose other
-    columns come first as JSON, whatever their types; rows with a null doc_id stay. Cases as in ``near_duplicates``.
+    Rows that repeat a kept doc_id stay one row, the one whose text has the smallest hash, among equal texts the one whose
+    other columns have it as JSON, whatever their types; rows with a null doc_id stay. Cases as in ``near_duplicates``.
     """
     found = near_duplicates(docs, n, num, den)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    row = docs.where("doc_id is not null").select("doc_id", F.struct("text", F.to_json(F.struct(*others)) if others else F.lit("")).alias("_by"), F.struct(*docs.columns).alias("_row"))
+    row = docs.where("doc_id is not null").select("doc_id", F.struct(F.xxhash64("text").alias("text"), (F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)).alias("rest")).alias("_by"), F.struct(*docs.columns).alias("_row"))
     whole = row.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("_row", "_by").alias("_row"))
     return whole.select("_row.*").unionByName(docs.where("doc_id is null"))
 
