@@ -234,3 +234,10 @@ LEDGER = """# PDF ↔ Web Audit R2 Bundle ({bundle})
 - If a previous manually verified bundle exists, treat it as manual evidence only rather than as regenerated proof.
 """
 ARTIFACTS = ("page-coverage-ledger.json", "special-sections.json", "content-fidelity-diff.json", "regression-diff.json", "search-corpus.json", "search-results.json", "search-checks.json", "ledger.md")
+
+# Page layouts and paragraphs, in lines, shares, points and characters.
+DECORATIVE_LINES, DECORATIVE_SHARE, PROSE_RUN = 8, 0.5, 3
+TOC_LEADERS, TOC_NUMBERS = 0.45, 0.35
+TABLE_BANDS, BULLET_LINES = 5, 12
+LIST_MARKERS, LIST_SHARE, LIST_LEADERS = 3, 0.3, 0.25
+LONGEST_PARAGRAPH, LEAST_CUT, LEAST_ENTRY, ANCHOR_SLACK = 900, 180, 160, 6

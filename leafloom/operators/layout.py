@@ -128,15 +128,16 @@ def features(lines: DataFrame, width: float = WIDTH) -> DataFrame:
 
 
 def page_layout() -> Column:
-    n, run, leaders = F.col("n_lines"), F.col("body_run"), F.col("leader_ratio")
-    return (
-        F.when((n <= 8) & ((F.col("centered_ratio") >= 0.5) | (run < 3)), DECORATIVE)
-        .when((leaders >= 0.45) & (F.col("numbered_ratio") >= 0.35), TOC)
-        .when((F.col("table_bands") >= 5) | F.col("anchor_grid"), TABLE)
-        .when((F.col("bullets") >= 1) & (n >= 12), LIST)
-        .when((F.col("markers") >= 3) & ((F.col("markers") / n >= 0.3) | (run < 3)) | (leaders >= 0.25), LIST)
-        .otherwise(PROSE)
+    """A page's layout from its figures: the first of the fixed rules that holds, else prose."""
+    n, run, leaders, r = F.col("n_lines"), F.col("body_run"), F.col("leader_ratio"), rules
+    listed = (F.col("markers") >= r.LIST_MARKERS) & ((F.col("markers") / n >= r.LIST_SHARE) | (run < r.PROSE_RUN))
+    cases = (
+        (DECORATIVE, (n <= r.DECORATIVE_LINES) & ((F.col("centered_ratio") >= r.DECORATIVE_SHARE) | (run < r.PROSE_RUN))),
+        (TOC, (leaders >= r.TOC_LEADERS) & (F.col("numbered_ratio") >= r.TOC_NUMBERS)),
+        (TABLE, (F.col("table_bands") >= r.TABLE_BANDS) | F.col("anchor_grid")),
+        (LIST, (F.col("bullets") >= 1) & (n >= r.BULLET_LINES) | listed | (leaders >= r.LIST_LEADERS)),
     )
+    return F.coalesce(*(F.when(test, name) for name, test in cases), F.lit(PROSE))
 
 
 class _Page:
@@ -177,24 +178,24 @@ class _Page:
             out.append(why)
         return self.shortened(out)
 
-    def shortened(self, why: list[str], longest: int = 900, least: int = 180) -> list[str]:
+    def shortened(self, why: list[str], longest: int = rules.LONGEST_PARAGRAPH, least: int = rules.LEAST_CUT) -> list[str]:
         """More boundaries inside paragraphs beyond ``longest`` characters: the last good one in reach, again and again."""
         why = list(why)
+        length = np.concatenate([[0], np.cumsum([len(t) + 1 for t in self.text])])
+        marked = np.array(self.marker, bool)
+        closed = np.concatenate([[False], np.array(self.ended[:-1], bool)]) & (np.abs(self.left - self.anchor) <= rules.ANCHOR_SLACK)
         starts = [i for i, w in enumerate(why) if w]
         for a, b in zip(starts, [*starts[1:], self.n], strict=True):
-            while b - a >= 2 and sum(len(t) + 1 for t in self.text[a:b]) - 1 > longest:
-                so_far, good = 0, []
-                for i in range(a + 1, b):
-                    so_far += len(self.text[i - 1]) + 1
-                    if self.marker[i] and so_far >= 160:
-                        good.append((i, "list-marker", so_far))
-                    elif self.ended[i - 1] and abs(self.left[i] - self.anchor) <= 6:
-                        good.append((i, "gap", so_far))
-                if not good:
+            while length[b] - length[a] - 1 > longest:
+                inner = np.arange(a + 1, b)
+                ahead = length[inner] - length[a]
+                entry = marked[inner] & (ahead >= rules.LEAST_ENTRY)
+                good = entry | closed[inner]
+                near = np.flatnonzero(good & (ahead >= least) & (ahead <= longest))
+                if not good.any():
                     break
-                at = [g for g in good if least <= g[2] <= longest]
-                i, reason, _ = at[-1] if at else good[0]
-                why[i], a = reason, i
+                k = near[-1] if len(near) else np.flatnonzero(good)[0]
+                why[inner[k]], a = "list-marker" if entry[k] else "gap", int(inner[k])
         return why
 
     def toc(self) -> list[str]:
