@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -310,19 +310,19 @@ def join_segments(array: Column, repair_each: bool = False) -> Column:
     return F.pandas_udf(run, "string")(array)
 
 
+@lru_cache(maxsize=4096)
+def _heading_lead(titles: tuple[str, ...]) -> re.Pattern | None:
+    """What matches one of the titles at a text's start, whatever separators are in it; the longest first."""
+    solid = {re.sub(r"[\s․ㆍ·]+", "", t) for t in titles if t} - {""}
+    loose = [r"[\s․ㆍ·]*".join(map(re.escape, t)) for t in sorted(solid, key=lambda t: (-len(t), t))]
+    return re.compile(r"^[\s․ㆍ·]*(?:" + "|".join(loose) + r")(?=[\s․ㆍ·]|$)[\s․ㆍ·]*") if loose else None
+
+
 def _trim_headings(text: str | None, titles: list[str] | None) -> str | None:
-    if text is None:
-        return None
-    loose = [r"[\s․ㆍ·]*".join(re.escape(ch) for ch in re.sub(r"[\s․ㆍ·]+", "", t)) for t in titles or [] if t and re.sub(r"[\s․ㆍ·]+", "", t)]
-    loose.sort(key=len, reverse=True)
-    if not loose:
-        return text
-    head = re.compile(r"^[\s․ㆍ·]*(?:" + "|".join(loose) + r")(?=[\s․ㆍ·]|$)[\s․ㆍ·]*")
-    while True:
-        shorter = head.sub("", text, count=1)
-        if shorter == text:
-            return text
-        text = shorter
+    head = _heading_lead(tuple(titles or ()))
+    while text is not None and head is not None and (m := head.match(text)):
+        text = text[m.end() :]
+    return text
 
 
 def trim_headings(text: Column, titles: Column) -> Column:
