@@ -67,6 +67,15 @@ def strip_headers(array: Column, patterns=rules.RUNNING_HEADERS, heading: str =
     return F.filter(kept, lambda x, i: ~repeated(x, i))
 
 
+def _head(pattern: str) -> str | None:
+    """The character that whatever matches a pattern begins with; None where it is not plain to see."""
+    flat, before = pattern, None
+    while flat != before:
+        before, flat = flat, re.sub(r"\([^()]*\)", "", flat)
+    plain = pattern[:1].isalnum() and pattern[1:2] not in ("?", "*", "{") and not re.search(r"[|\[]|\\[()]", flat)
+    return pattern[0] if plain else None
+
+
 def repair(c: Column, table=rules.REPAIRS) -> Column:
     """Split words put together by ordered rules, applied again until nothing changes.
 
@@ -75,7 +84,10 @@ def repair(c: Column, table=rules.REPAIRS) -> Column:
     """
     if not table:
         return c
-    hit = "|".join(f"(?:{p})" for p, _ in table)
+    hit = c.rlike("|".join(f"(?:{p})" for p, _ in table))
+    if None not in (heads := sorted({_head(p) for p, _ in table}, key=str)):
+        # rules are tried only on texts that have a character between the least and the greatest that one begins with
+        hit = c.rlike(f"[{heads[0]}-{heads[-1]}]") & hit
     once = lambda x: reduce(lambda y, r: F.regexp_replace(y, r[0], r[1]), table, x)
     # a fold keeps the rules once in the plan; texts without a hit pass through
     start = F.struct(c.alias("text"), F.lit(False).alias("settled"))
@@ -85,7 +97,7 @@ def repair(c: Column, table=rules.REPAIRS) -> Column:
         return F.transform(F.array(now), lambda x: F.struct(x.alias("text"), (x == acc["text"]).alias("settled")))[0]
 
     rounds = F.sequence(F.lit(1), F.regexp_count(c, F.lit(WS + "+")) + 1)
-    return F.when(c.rlike(hit), F.aggregate(rounds, start, step, lambda acc: acc["text"])).otherwise(c)
+    return F.when(hit, F.aggregate(rounds, start, step, lambda acc: acc["text"])).otherwise(c)
 
 
 def for_search(c: Column) -> Column:
@@ -311,18 +323,46 @@ def join_segments(array: Column, repair_each: bool = False) -> Column:
 
 
 @lru_cache(maxsize=4096)
-def _heading_lead(titles: tuple[str, ...]) -> re.Pattern | None:
-    """What matches one of the titles at a text's start, whatever separators are in it; the longest first."""
-    solid = {re.sub(r"[\s․ㆍ·]+", "", t) for t in titles if t} - {""}
-    loose = [r"[\s․ㆍ·]*".join(map(re.escape, t)) for t in sorted(solid, key=lambda t: (-len(t), t))]
-    return re.compile(r"^[\s․ㆍ·]*(?:" + "|".join(loose) + r")(?=[\s․ㆍ·]|$)[\s․ㆍ·]*") if loose else None
+def _solid(title: str | None) -> str:
+    """A title without separators."""
+    return re.sub(r"[\s․ㆍ·]+", "", title or "")
+
+
+def _separates(c: str) -> bool:
+    return c in "․ㆍ·" or c.isspace()
+
+
+def behind_separators(text: str, at: int) -> int:
+    """The place of the first character from ``at`` on that separates no words; the text's length if there is none."""
+    while at < len(text) and _separates(text[at]):
+        at += 1
+    return at
+
+
+def _behind(text: str, at: int, solid: str) -> int:
+    """Where a title that starts at ``at`` ends, whatever separators are in it; -1 if it is not there as whole words."""
+    if not text.startswith(solid[0], at):
+        return -1
+    for c in solid:
+        at = behind_separators(text, at)
+        if not text.startswith(c, at):
+            return -1
+        at += 1
+    return at if at == len(text) or _separates(text[at]) else -1
 
 
 def _trim_headings(text: str | None, titles: list[str] | None) -> str | None:
-    head = _heading_lead(tuple(titles or ()))
-    while text is not None and head is not None and (m := head.match(text)):
-        text = text[m.end() :]
-    return text
+    # no pattern is made: titles differ by row, and compiling one takes longer than any text
+    solid = sorted({_solid(t) for t in titles or ()} - {""}, key=lambda t: (-len(t), t))
+    if text is None or not solid:
+        return text
+    at = 0
+    while True:
+        start = behind_separators(text, at)
+        end = next((e for t in solid if (e := _behind(text, start, t)) >= 0), None)
+        if end is None:
+            return text[at:]
+        at = behind_separators(text, end)
 
 
 def trim_headings(text: Column, titles: Column) -> Column:

@@ -8,6 +8,7 @@ chapter are windows over its pages; nothing is ordered across chapters.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,7 @@ from leafloom.operators import ordered as O
 from leafloom.operators import relational as R
 
 KEYS = ["doc_id", "chapter"]
+_SEPARATORS = re.compile(r"[\s·ㆍ․]")
 
 
 def range_blocks(chapters: DataFrame, paragraphs: DataFrame, images: DataFrame, regions: DataFrame) -> DataFrame:
@@ -75,20 +77,58 @@ def range_blocks(chapters: DataFrame, paragraphs: DataFrame, images: DataFrame,
     return out.select(*KEYS, pos.alias("pos"), "b.type", "b.text", "b.kind", "b.suppressed", "b.path")
 
 
+@lru_cache(maxsize=512)
+def _title_words(titles: tuple[str, ...]) -> tuple[tuple[str, ...], tuple[tuple[str, ...], ...], re.Pattern | None]:
+    """(titles, their words, pattern): where titles start together the longest counts, and among equals the first.
+
+    There is a pattern only where a title has blank words or separators in its words; others are found by their words.
+    """
+    order = tuple(sorted((t for t in titles if t), key=lambda t: -len(t)))
+    words = tuple(tuple(t.split(" ")) for t in order)
+    if all(w and not _SEPARATORS.search(w) for ws in words for w in ws):
+        return order, words, None
+    loose = (r"[\s·ㆍ․]*".join(map(re.escape, ws)) for ws in words)
+    return order, words, re.compile("|".join(f"({x})" for x in loose))
+
+
+def _next(paragraph: str, words: tuple[str, ...], at: int) -> tuple[int, int] | None:
+    """(start, end) of the first place from ``at`` on that has the words in turn, whatever separators are between them."""
+    while (start := paragraph.find(words[0], at)) >= 0:
+        end = start + len(words[0])
+        for w in words[1:]:
+            end = text.behind_separators(paragraph, end)
+            if not paragraph.startswith(w, end):
+                break
+            end += len(w)
+        else:
+            return start, end
+        at = start + 1
+    return None
+
+
+def _found(paragraph: str, titles: tuple[str, ...]):
+    """(start, end, title) of the titles in a paragraph from left to right, none within another."""
+    order, words, pattern = _title_words(titles)
+    if pattern is not None:
+        yield from ((m.start(), m.end(), order[m.lastindex - 1]) for m in pattern.finditer(paragraph))
+        return
+    coming = [(*hit, n) for n, w in enumerate(words) if (hit := _next(paragraph, w, 0))]
+    while coming:
+        start, end, n = min(coming, key=lambda c: (c[0], c[2]))
+        yield start, end, order[n]
+        behind = ((c[:2] if c[0] >= end else _next(paragraph, words[c[2]], end), c[2]) for c in coming)
+        coming = [(*hit, k) for hit, k in behind if hit]
+
+
 def _cut(paragraph: str | None, titles) -> list[dict]:
     if not paragraph:
         return []
-    # where titles start together the longest counts, and among equals the first
-    order = sorted((t for t in titles if t), key=lambda t: -len(t)) if titles is not None else []
-    if not order:
-        return [{"heading": None, "text": paragraph.strip()}] if paragraph.strip() else []
-    loose = [r"[\s·ㆍ․]*".join(map(re.escape, t.split(" "))) for t in order]
     out, at = [], 0
-    for m in re.finditer("|".join(f"({x})" for x in loose), paragraph):
-        if lead := paragraph[at : m.start()].strip():
+    for start, end, title in _found(paragraph, tuple(titles) if titles is not None else ()):
+        if lead := paragraph[at:start].strip():
             out.append({"heading": None, "text": lead})
-        out.append({"heading": order[m.lastindex - 1], "text": None})
-        at = m.end()
+        out.append({"heading": title, "text": None})
+        at = end
     if rest := paragraph[at:].strip():
         out.append({"heading": None, "text": rest})
     return out
@@ -216,9 +256,11 @@ def built(chapters: DataFrame, items: DataFrame, paragraphs: DataFrame, images:
     spare = F.coalesce(F.nullif(F.col("text"), F.lit("")), F.col("own_title"))
 
     def entry(df, kind, own_id, section, title, said, limit, end, labels, categories):
+        # columns of their own: each is used more than once, and a plan keeps what it would have to compute again
+        df = df.withColumn("_plain", text.normalize(F.coalesce(said, F.lit("")))).withColumn("_text", text.repair(F.col("_plain")))
         return df.select(
             *KEYS, "ord", F.lit(kind).alias("entry_type"), own_id.alias("id"), section.alias("section"), title.alias("section_title"), F.col("chapter_title"), "part_title",
-            text.for_search(said).alias("text"), text.excerpt(text.for_search(said), limit).alias("excerpt"), "page_start", end.alias("page_end"), labels[0].alias("label_start"), labels[1].alias("label_end"),
+            F.col("_text").alias("text"), text.excerpt(F.col("_text"), limit).alias("excerpt"), "page_start", end.alias("page_end"), labels[0].alias("label_start"), labels[1].alias("label_end"),
             F.coalesce("images", F.lit(0)).alias("images"), categories.alias("categories"),
         )
 

@@ -192,3 +192,25 @@ def test_rounding_passes_what_is_no_small_number(spark):
     odd = [float("nan"), float("inf"), -float("inf"), 1e18, -(2.0**53), 0.25, None]
     got = [r.r for r in spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "i int, x double").orderBy("i").select(text.python_round(F.col("x")).alias("r")).collect()]
     assert np.isnan(got[0]) and got[1:5] == odd[1:5] and got[5] == 0.2 and got[6] is None
+
+
+def test_titles_are_found_without_a_pattern_for_each(monkeypatch):
+    made, compiled = [], re._compiler.compile
+    monkeypatch.setattr(re._compiler, "compile", lambda p, *a, **k: made.append(p) or compiled(p, *a, **k))
+    for n in range(600):
+        titles = [f"first {n}", f"first {n} longer", None]
+        assert text._trim_headings(f" ·first{n} first ㆍ {n}·longer\nfirst {n}th", titles) == f"first {n}th"
+        assert [x["heading"] or x["text"] for x in content._cut(f"first {n} first  {n}·longer the first", titles)] == [f"first {n}", f"first {n} longer", "the first"]
+    assert len(made) <= 1  # the one that takes separators out
+
+
+def test_titles_with_blank_words_or_separators_are_cut_at(spark):
+    df = spark.createDataFrame([("x a··b y a  b", ["a ·b", "a  b"])], "p string, t array<string>")
+    assert [(r.heading, r.text) for r in df.select(content.cut_at_titles(F.col("p"), F.col("t")).alias("c")).first().c] == [(None, "x"), ("a ·b", None), (None, "y"), ("a  b", None)]
+
+
+def test_rules_are_tried_only_where_one_can_begin(spark):
+    assert [text._head(p) for p in (r"이\s+에(?=\s+(?:대|따))", "a(b)|c", "(a)", "a?b", r"a\(|b", "ab|c", "", "a+b")] == ["이", None, None, None, None, None, None, "a"]
+    df = spark.createDataFrame([(0, "특 허 plain"), (1, "plain words"), (2, None), (3, "행정 심 판")], "i int, x string").orderBy("i")
+    assert [r.x for r in df.select(text.repair(F.col("x")).alias("x")).collect()] == ["특허 plain", "plain words", None, "행정심판"]
+    assert "[국-행]" in df.select(text.repair(F.col("x")).alias("x"))._jdf.queryExecution().analyzed().toString()
