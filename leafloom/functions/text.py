@@ -20,6 +20,12 @@ def normalize(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(c, "\0", " "), WS + "+", " "))
 
 
+def first_words(c: Column, n: int) -> Column:
+    """The first ``n`` words of ``normalize(c)``; what is behind them is not normalised."""
+    words = rf"(?U)^[\s\x00]*([^\s\x00]+(?:[\s\x00]+[^\s\x00]+){{0,{n - 1}}})"
+    return normalize(F.regexp_extract(c, words, 1))
+
+
 def clean_title(c: Column, bookmark: bool = False) -> Column:
     """Middle dots as spaces, normalised; a bookmark's `` ,`` becomes ``,``."""
     out = normalize(F.translate(c, "․ㆍ·", "   "))

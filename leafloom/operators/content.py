@@ -247,11 +247,13 @@ def built(chapters: DataFrame, items: DataFrame, paragraphs: DataFrame, images:
     alias entry. An overview ends before the first item. An empty table gives none.
     """
     key = [*KEYS, "section"]
+    # written once: each is read for blocks, overviews, items and introductions
+    chapters, items = O.written(chapters), O.written(items)
     titled = chapters.withColumn("titles", F.array("title", "part_title"))
     cut = segmented(range_blocks(titled.select(*KEYS, "page_start", "page_end", "titles"), paragraphs, images, regions), items)
     heads = items.select(*KEYS, "section", F.col("title").alias("alt")).groupBy(*key).agg(F.max("alt").alias("alt"))
     heads = heads.unionByName(chapters.select(*KEYS, F.lit("overview").alias("section"), F.col("title").alias("alt")))
-    # written once: the overviews, items, pages and entries below all read it
+    # written once too: the overviews, items, pages and entries below all read it; what a caller leaves out of them is not made
     made = O.written(rendered(cut.join(heads, key), key, F.col("alt")))
     spare = F.coalesce(F.nullif(F.col("text"), F.lit("")), F.col("own_title"))
 
@@ -288,7 +290,7 @@ def built(chapters: DataFrame, items: DataFrame, paragraphs: DataFrame, images:
     entries = entries.unionByName(entry(intro, "part-intro", F.concat("slug", F.lit("-part-intro")), F.lit("part-intro"), F.col("part_title"), F.col("said"), 160, F.col("own_end"), labels, none))
     alias = intro.where(F.col("part_title") == rules.APPENDIX_PART).withColumns({"said": F.concat_ws(" ", F.lit(rules.REVISION_TERMS), "said"), "ord": F.lit(-1)})
     entries = entries.unionByName(entry(alias, "search-alias", F.concat("slug", F.lit("-part-intro-alias-revision-history")), F.lit("part-intro"), F.lit(rules.REVISION_TITLE), F.col("said"), 160, F.col("own_end"), labels, F.array(F.lit("appendix"))))
-    entries = O.written(entries.select(*ENTRY))
+    entries = entries.select(*ENTRY)
     # a chapter's page: introduction, overview, items; its summary from the entries' texts but the introduction's
     sections = item.select(*KEYS, F.struct("ord", F.col("section").alias("id"), "title", F.coalesce("html", F.lit("")).alias("html"), F.coalesce("images", F.lit(0)).alias("n")).alias("s"))
     sections = sections.unionByName(intro.select(*KEYS, F.struct(F.lit(-1).cast(items.schema["ord"].dataType).alias("ord"), F.lit("part-intro").alias("id"), F.col("part_title").alias("title"), F.col("intro_html").alias("html"), F.lit(0).cast("long").alias("n")).alias("s")))

@@ -20,7 +20,7 @@ def chapters(docs: DataFrame) -> DataFrame:
     """The chapters of all books: each begins on the second of its twelve pages, so a part's first leaves a page free."""
     n = F.pmod("doc_id", F.lit(PER_BOOK))
     part = F.floor(n / 5)
-    words = F.array_join(F.slice(F.split(text.normalize(F.coalesce("text", F.lit(""))), " "), 1, 3), " ")
+    words = text.first_words(F.coalesce("text", F.lit("")), 3)
     return docs.select(
         F.floor(F.col("doc_id") / PER_BOOK).alias("doc_id"), F.col("doc_id").alias("chapter"), n.alias("ord"), F.concat(F.lit("p"), part).alias("part"),
         F.when(part == 3, rules.APPENDIX_PART).otherwise(F.concat(F.lit("제"), part + 1, F.lit("편"))).alias("part_title"), (part * 5 * PAGES + 1).alias("part_start"),
@@ -51,7 +51,7 @@ def books(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     regions = regions.where("page % 3 = 0").select("doc_id", "page", F.col("region").cast("int").alias("region"), "lines", G.crop_path(F.col("page"), F.col("region")).alias("path"))
     pages = heads.select("doc_id", F.explode(F.sequence("page_start", "page_end")).alias("page")).where("page % 7 = 0")
     images = pages.select("doc_id", "page", F.lit(0).alias("ord"), F.format_string("images/p%04d.png", F.col("page")).alias("path"))
-    words = F.split(text.normalize(F.coalesce("text", F.lit(""))), " ")
+    words = F.split(text.first_words(F.coalesce("text", F.lit("")), 53), " ")
     pair = F.explode(F.array(*(F.struct(F.lit(k).alias("ord"), F.array_join(F.slice("w", 25 * k + 1, 2), " ").alias("title")) for k in (1, 2))))
     titled = docs.withColumn("w", words).where(F.size("w") > 52).select("doc_id", pair.alias("t")).where("t.title <> ''")
     none = F.lit(None).cast("string")

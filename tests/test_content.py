@@ -209,6 +209,23 @@ def test_titles_with_blank_words_or_separators_are_cut_at(spark):
     assert [(r.heading, r.text) for r in df.select(content.cut_at_titles(F.col("p"), F.col("t")).alias("c")).first().c] == [(None, "x"), ("a ·b", None), (None, "y"), ("a  b", None)]
 
 
+def test_first_words(spark):
+    said = ["", " \0 ", "one", " a\0\0b c  d", "a b c", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(said)], "i int, x string").orderBy("i")
+    assert [r.w for r in df.select(text.first_words(F.col("x"), 3).alias("w")).collect()] == ["", "", "one", "a b c", "a b c", None]
+
+
+def test_chapters_are_read_once_and_entries_when_asked_for(spark, sf, monkeypatch):
+    from leafloom.plans import manual
+
+    made, written = [], content.O.written
+    monkeypatch.setattr(content.O, "written", lambda df: made.append(df.columns) or written(df))
+    m = manual.books(spark, sf)
+    pages, entries = content.built(m["chapters"], m["items"], m["paragraphs"], m["images"], m["regions"])
+    assert len(made) == 3 and not any("excerpt" in c for c in made)
+    assert "documents.parquet" not in entries._jdf.queryExecution().optimizedPlan().toString() and entries.count() > 0
+
+
 def test_rules_are_tried_only_where_one_can_begin(spark):
     assert [text._head(p) for p in (r"이\s+에(?=\s+(?:대|따))", "a(b)|c", "(a)", "a?b", r"a\(|b", "ab|c", "", "a+b")] == ["이", None, None, None, None, None, None, "a"]
     df = spark.createDataFrame([(0, "특 허 plain"), (1, "plain words"), (2, None), (3, "행정 심 판")], "i int, x string").orderBy("i")
