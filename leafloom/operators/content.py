@@ -297,12 +297,13 @@ def built(chapters: DataFrame, items: DataFrame, paragraphs: DataFrame, images:
     sections = sections.groupBy(*KEYS).agg(F.array_sort(F.collect_list("s")).alias("sections"))
     texts = entries.where("entry_type <> 'part-intro' and text <> ''").groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("t")).select(*KEYS, F.array_join("t.text", "\n\n").alias("all_text"))
     pages = over.join(sections, KEYS, "left").join(texts, KEYS, "left")
+    pages = pages.withColumn("_plain", text.normalize(F.coalesce(F.nullif(F.col("all_text"), F.lit("")), F.col("title"), F.lit("")))).withColumn("_text", text.repair(F.col("_plain")))
     fallback = F.when((F.col("cleaned") != "") & (text.clean_title(F.col("cleaned"), True) != F.col("title")), text.paragraph_html(F.col("cleaned"))).otherwise(F.lit(""))
     shown = F.coalesce(F.nullif(F.col("html"), F.lit("")), fallback)
     none_yet = F.array().cast("array<struct<id:string,title:string,html:string>>")
     count = F.coalesce("images", F.lit(0)) + F.coalesce(F.aggregate("sections.n", F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0))
     made_pages = pages.select(
-        *KEYS, "part", "part_title", "slug", "title", "page_start", "page_end", "label_start", "label_end", text.excerpt(text.for_search(F.coalesce(F.nullif(F.col("all_text"), F.lit("")), F.col("title"))), 220).alias("summary"),
+        *KEYS, "part", "part_title", "slug", "title", "page_start", "page_end", "label_start", "label_end", text.excerpt(F.col("_text"), 220).alias("summary"),
         F.coalesce(chapter_html(F.col("title"), shown, F.col("sections")), chapter_html(F.col("title"), shown, none_yet)).alias("html"), count.alias("images"),
         F.coalesce(F.size(F.filter("sections", lambda s: s["ord"] >= 0)), F.lit(0)).alias("headings"),
     )

@@ -231,3 +231,13 @@ def test_rules_are_tried_only_where_one_can_begin(spark):
     df = spark.createDataFrame([(0, "특 허 plain"), (1, "plain words"), (2, None), (3, "행정 심 판")], "i int, x string").orderBy("i")
     assert [r.x for r in df.select(text.repair(F.col("x")).alias("x")).collect()] == ["특허 plain", "plain words", None, "행정심판"]
     assert "[국-행]" in df.select(text.repair(F.col("x")).alias("x"))._jdf.queryExecution().analyzed().toString()
+
+
+def test_search_texts_are_made_once_a_row(spark, sf):
+    from leafloom.plans import manual
+
+    m = manual.books(spark, sf)
+    pages, entries = content.built(m["chapters"], m["items"], m["paragraphs"], m["images"], m["regions"])
+    for df in (pages, entries):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        assert max(line.count("[국-행]") for line in plan) == 1
