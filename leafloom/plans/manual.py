@@ -6,7 +6,6 @@ They give the document operators whole tables to work on: chapters, items, parag
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafloom.functions import rules, text
@@ -34,17 +33,19 @@ def books(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """chapters, items, paragraphs, images and regions of all books."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang").where("doc_id is not null")
     heads = chapters(docs)
-    lines = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "text"))
     n = F.pmod("doc_id", F.lit(PER_BOOK))
-    by = W.partitionBy("doc_id").orderBy("i")
-    lines = lines.withColumns({"page": n * PAGES + 2 + F.least(F.floor(F.col("i") / LINES), F.lit(PAGES - 3)), "before": F.lag("text").over(by)})
-    lines = lines.withColumn("index", F.row_number().over(W.partitionBy("doc_id", "page").orderBy("i")) - 1)
+    # a page's lines are neighbours in the text, so places follow from the line's number; a line carries a flag a page
+    last = PAGES - 3
+    before = [F.get("all", F.lit(k * LINES - 1)) for k in range(last + 1)]
+    opens = F.array(*(F.coalesce((x != "") & ~x.rlike(r"[.!?]\s*$"), F.lit(False)) for x in before))
+    split = docs.withColumn("all", F.split(F.coalesce("text", F.lit("")), "\n")).select("doc_id", "all", opens.alias("opens"))
+    lines = split.select("doc_id", "opens", F.posexplode("all").alias("i", "text"))
+    block = F.least(F.floor(F.col("i") / LINES), F.lit(last)).cast("int")
+    lines = lines.withColumns({"page": n * PAGES + 2 + block.cast("long"), "index": F.col("i") - block * LINES, "first": F.get("opens", block)})
     table_row = F.contains("text", F.lit(" | "))
     kind = F.when(table_row, "table/form").when(F.col("text").rlike(rules.SPECIAL_HEADING), "heading").otherwise("body")
     book = F.floor(F.col("doc_id") / PER_BOOK).alias("doc_id")
-    open_before = F.coalesce((F.col("before") != "") & ~F.col("before").rlike(r"[.!?]\s*$"), F.lit(False))
-    first = F.first(open_before).over(W.partitionBy("doc_id", "page").orderBy("i"))
-    paragraphs = lines.select(book, "page", "index", "text", kind.alias("kind"), F.array("i").alias("lines"), first.alias("merge_first"))
+    paragraphs = lines.select(book, "page", "index", "text", kind.alias("kind"), F.array("i").alias("lines"), F.col("first").alias("merge_first"))
     rows = paragraphs.where("kind = 'table/form'").withColumn("region", F.pmod(F.floor(F.get("lines", F.lit(0)) / 2), F.lit(2)) + 1)
     regions = rows.groupBy("doc_id", "page", "region").agg(F.array_sort(F.flatten(F.collect_list("lines"))).alias("lines"))
     # every third page shows its tables as pictures

@@ -241,3 +241,20 @@ def test_search_texts_are_made_once_a_row(spark, sf):
     for df in (pages, entries):
         plan = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
         assert max(line.count("[국-행]") for line in plan) == 1
+
+
+def test_lines_of_books_are_placed_without_a_shuffle(spark):
+    from leafloom.plans import manual
+
+    said = "\n".join(f"line {i}{'.' if i % 2 else ''}" for i in range(50))
+    docs = spark.createDataFrame([(21, said, "s", "en"), (22, None, "s", "en")], "doc_id long, text string, source string, lang string")
+    import tempfile
+
+    folder = tempfile.mkdtemp()
+    docs.write.parquet(f"{folder}/documents.parquet")
+    paragraphs = manual.books(spark, folder)["paragraphs"]
+    plan = paragraphs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    got = sorted(tuple(r) for r in paragraphs.where("page < 26").select("page", "index", "text", "lines", "merge_first").collect())
+    assert len(got) == 50 and got[0] == (14, 0, "line 0", [0], False) and got[4] == (15, 0, "line 4", [4], False) and got[-1] == (23, 13, "line 49.", [49], False)
+    assert [tuple(r)[:2] for r in paragraphs.where("page >= 26").select("page", "index").collect()] == [(26, 0)]
